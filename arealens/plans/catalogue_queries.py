@@ -1,3 +1,4 @@
 """Import every query module so the registry is complete."""
 
 from . import q_indicator  # noqa: F401
+from . import q_episodes  # noqa: F401
