@@ -8,6 +8,12 @@ result, and a per-(partition, key) summary - at most P + K rows for P
 partitions and K keys - carries the running state across partition borders.
 Range partitioning keeps equal sort keys in one partition, so peers (RANGE
 frames) never straddle a border.
+
+The range-partitioned rows, tagged with their partition id, are written once
+as a table in the shared checkpoint folder before the id is read twice:
+range bounds come from sampling, so a recomputation could place rows
+differently; reading one materialised copy keeps both branches consistent,
+survives executor loss and cuts the lineage.
 """
 
 from __future__ import annotations
@@ -27,18 +33,27 @@ def _num_partitions(df: DataFrame, n: int | None) -> int:
 
 
 def _ranged(df: DataFrame, keys, order_cols, n: int | None) -> DataFrame:
+    from ..session import materialize
+
     cols = [*keys, *order_cols]
-    return (df.repartitionByRange(_num_partitions(df, n), *cols)
-            .withColumn(PID, F.spark_partition_id()))
+    r = (df.repartitionByRange(_num_partitions(df, n), *cols)
+         .withColumn(PID, F.spark_partition_id()))
+    return materialize(r, "ranged")
+
+
+def _on(left: DataFrame, right: DataFrame, cols) -> Column:
+    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[f"_k_{c}"]) for c in cols])
 
 
 def running_sums(df: DataFrame, keys, order_cols, sums: dict[str, Column],
-                 frame: str = "range", num_partitions: int | None = None) -> DataFrame:
+                 frame: str = "range", totals: bool = False,
+                 num_partitions: int | None = None) -> DataFrame:
     """Add cumulative sums per key in ``order_cols`` order.
 
     ``sums`` maps output column -> value expression.  ``frame='range'``
     includes all peers with the same order value (SQL default frame);
-    ``'rows'`` counts strictly row by row (order must then be unique).
+    ``'rows'`` counts strictly row by row (order must then be unique).  With
+    ``totals`` the per-key total of each sum is added as ``<name>_total``.
     """
     keys, order_cols = list(keys), list(order_cols)
     base = df.select("*", *[e.alias(f"_v_{o}") for o, e in sums.items()])
@@ -48,16 +63,15 @@ def running_sums(df: DataFrame, keys, order_cols, sums: dict[str, Column],
          else w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = r.select("*", *[F.sum(f"_v_{o}").over(w).alias(f"_l_{o}") for o in sums])
     seg = r.groupBy(PID, *keys).agg(*[F.sum(f"_v_{o}").alias(f"_t_{o}") for o in sums])
-    wk = (Window.partitionBy(*keys).orderBy(PID) if keys else Window.orderBy(PID)) \
-        .rowsBetween(Window.unboundedPreceding, -1)
     # ``seg`` has one row per (partition, key): without keys that is P rows,
-    # so the un-partitioned window here is bounded by the partition count.
-    seg = seg.select(PID, *keys, *[F.coalesce(F.sum(f"_t_{o}").over(wk), F.lit(0)).alias(f"_c_{o}")
-                                   for o in sums])
-    segr = seg.select(*[F.col(c).alias(f"_k_{c}") for c in [PID, *keys]],
-                      *[f"_c_{o}" for o in sums])
-    on = reduce(lambda a, b: a & b, [local[c].eqNullSafe(segr[f"_k_{c}"]) for c in [PID, *keys]])
-    out = local.join(segr, on, "left")
+    # so an un-partitioned window over it is bounded by the partition count.
+    wk = Window.partitionBy(*keys).orderBy(PID) if keys else Window.orderBy(PID)
+    wall = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
+    carry = [F.coalesce(F.sum(f"_t_{o}").over(wk.rowsBetween(Window.unboundedPreceding, -1)),
+                        F.lit(0)).alias(f"_c_{o}") for o in sums]
+    tot = [F.sum(f"_t_{o}").over(wall).alias(f"{o}_total") for o in sums] if totals else []
+    seg = seg.select(*[F.col(c).alias(f"_k_{c}") for c in [PID, *keys]], *carry, *tot)
+    out = local.join(seg, _on(local, seg, [PID, *keys]), "left")
     for o in sums:
         out = out.withColumn(o, F.col(f"_l_{o}") + F.coalesce(F.col(f"_c_{o}"), F.lit(0)))
     drop = [PID, *[f"_k_{c}" for c in [PID, *keys]]]
@@ -83,8 +97,7 @@ def previous_values(df: DataFrame, keys, order_cols, value_cols, prefix: str = "
     wk = Window.partitionBy(*keys).orderBy(PID) if keys else Window.orderBy(PID)
     seg = seg.select(*[F.col(c).alias(f"_k_{c}") for c in [PID, *keys]],
                      F.lag("_seq_last").over(wk).alias("_seq_carry"))
-    on = reduce(lambda a, b: a & b, [local[c].eqNullSafe(seg[f"_k_{c}"]) for c in [PID, *keys]])
-    out = local.join(seg, on, "left")
+    out = local.join(seg, _on(local, seg, [PID, *keys]), "left")
     for v in value_cols:
         out = out.withColumn(f"{prefix}{v}", F.when(F.col("_seq_first"), F.col(f"_seq_carry.{v}"))
                              .otherwise(F.col(f"{prefix}{v}")))

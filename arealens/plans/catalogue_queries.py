@@ -2,3 +2,4 @@
 
 from . import q_indicator  # noqa: F401
 from . import q_episodes  # noqa: F401
+from . import q_depr  # noqa: F401

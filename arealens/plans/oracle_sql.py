@@ -63,8 +63,51 @@ def _other_condition(k: int) -> str:
 FX["fx_episode_wide"] = ("SELECT *, " + ", ".join(_other_condition(k) for k in range(1, 6))
                          + " FROM fx_episode")
 
+FX["fx_simd"] = """
+SELECT datazone, pop, simd_rank, ca, hb,
+       CASE WHEN 5*cum <= tot THEN 1 WHEN 5*cum <= 2*tot THEN 2 WHEN 5*cum <= 3*tot THEN 3
+            WHEN 5*cum <= 4*tot THEN 4 ELSE 5 END AS sc_quin,
+       CASE WHEN 5*cum_hb <= tot_hb THEN 1 WHEN 5*cum_hb <= 2*tot_hb THEN 2 WHEN 5*cum_hb <= 3*tot_hb THEN 3
+            WHEN 5*cum_hb <= 4*tot_hb THEN 4 ELSE 5 END AS hb_quin,
+       CASE WHEN 5*cum_ca <= tot_ca THEN 1 WHEN 5*cum_ca <= 2*tot_ca THEN 2 WHEN 5*cum_ca <= 3*tot_ca THEN 3
+            WHEN 5*cum_ca <= 4*tot_ca THEN 4 ELSE 5 END AS ca_quin
+FROM (SELECT *, sum(pop) OVER (ORDER BY simd_rank) AS cum, sum(pop) OVER () AS tot,
+             sum(pop) OVER (PARTITION BY hb ORDER BY simd_rank) AS cum_hb, sum(pop) OVER (PARTITION BY hb) AS tot_hb,
+             sum(pop) OVER (PARTITION BY ca ORDER BY simd_rank) AS cum_ca, sum(pop) OVER (PARTITION BY ca) AS tot_ca
+      FROM (SELECT a.datazone, 100 + a.datazone % 400 AS pop, a.ca, a.hb,
+                   row_number() OVER (ORDER BY c_acctbal, c_custkey) AS simd_rank
+            FROM customer JOIN fx_area a ON c_custkey = a.datazone))"""
+FX["fx_depr_lookup"] = """
+SELECT s.datazone, y.year, s.pop, s.ca, s.hb, s.sc_quin, s.hb_quin, s.ca_quin
+FROM fx_simd s, (SELECT DISTINCT year FROM fx_prepared) y"""
+QUINT_SCHEMES = [("'S00000001'", "sc_quin"), ("hb", "sc_quin"), ("hb", "hb_quin"),
+                 ("ca", "sc_quin"), ("ca", "ca_quin")]
+
+
+def quintile_rollup_sql(src: str, keys, measures, totals: bool = True) -> str:
+    """Five (area, quintile scheme) roll-ups, plus Total rows, nulls dropped after totals."""
+    k = ", ".join(keys)
+    m = ", ".join(measures)
+    union = " UNION ALL ".join(
+        f"SELECT {a} AS code, CAST({q} AS VARCHAR) AS quintile, '{q}' AS quint_type, {k}, {m} FROM {src}"
+        for a, q in QUINT_SCHEMES)
+    aggs = ", ".join(f"CAST(coalesce(sum({x}), 0) AS DOUBLE) AS {x}" for x in measures)
+    det = f"SELECT code, quint_type, {k}, quintile, {aggs} FROM ({union}) GROUP BY code, quint_type, {k}, quintile"
+    if not totals:
+        return f"SELECT * FROM ({det}) WHERE code IS NOT NULL AND quintile IS NOT NULL"
+    tot = (f"SELECT code, quint_type, {k}, 'Total' AS quintile, {aggs} FROM ({union}) "
+           f"GROUP BY code, quint_type, {k}")
+    return f"SELECT * FROM ({det} UNION ALL {tot}) WHERE code IS NOT NULL AND quintile IS NOT NULL"
+
+
+FX["fx_depr_population"] = (
+    "SELECT code, quint_type, year, quintile, denominator FROM ("
+    + quintile_rollup_sql("(SELECT year, ca, hb, sc_quin, hb_quin, ca_quin, CAST(pop AS DOUBLE) AS denominator "
+                          "FROM fx_depr_lookup)", ["year"], ["denominator"]) + ")")
+
 ORDER = ["fx_area", "fx_prepared", "fx_counts", "fx_population", "fx_population_total",
-         "fx_episode", "fx_episode_wide", "fx_postcode"]
+         "fx_episode", "fx_episode_wide", "fx_postcode", "fx_simd", "fx_depr_lookup",
+         "fx_depr_population"]
 
 
 def with_fx(*ctes: tuple[str, str], body: str) -> str:

@@ -60,3 +60,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder (never machine-local)."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df, name: str):
+    """Write ``df`` once as parquet in the shared checkpoint folder and read it back.
+
+    Cuts the lineage (like a reliable checkpoint) with a single write job;
+    the copy is what every later branch reads, so nondeterministic columns
+    (partition ids, sampled bounds) are fixed once.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

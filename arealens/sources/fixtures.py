@@ -140,3 +140,52 @@ def fx_postcode(spark: SparkSession, d: str) -> DataFrame:
     return n.select(F.col("n_nationkey").alias("pc7"),
                     area_code("S12", "n_nationkey").alias("ca"),
                     area_code("S08", "n_regionkey").alias("hb"))
+
+
+def fx_simd(spark: SparkSession, d: str) -> DataFrame:
+    """Deprivation ranks of datazones: rank by account balance (1 = most deprived),
+    population-weighted quintiles nationally, within board and within council.
+
+    The three cuts are one running sum: each datazone is stacked once per
+    scheme (national / board / council) with the scheme's area as the key,
+    so a single range-partitioned pass computes every cumulative population
+    (the national key, which holds every row, is split across partitions).
+    """
+    from ..operators.deprivation import quintile_cut
+    from ..operators.sequence import running_sums
+
+    c = read_table(spark, d, "customer", ["c_custkey", "c_acctbal"])
+    base = (c.select(F.col("c_custkey").alias("datazone"), F.col("c_acctbal").alias("score"),
+                     (100 + F.col("c_custkey") % 400).alias("pop"))
+            .join(fx_area(spark, d).select("datazone", "ca", "hb"), "datazone"))
+    schemes = F.array(F.struct(F.lit("sc").alias("scheme"), F.lit(SCOTLAND).alias("area")),
+                      F.struct(F.lit("hb").alias("scheme"), F.col("hb").alias("area")),
+                      F.struct(F.lit("ca").alias("scheme"), F.col("ca").alias("area")))
+    long = base.select("*", F.explode(schemes).alias("_s")).select(
+        "datazone", "score", "pop", "ca", "hb", "_s.scheme", "_s.area")
+    r = running_sums(long, ["scheme", "area"], ["score", "datazone"],
+                     {"rank": F.lit(1), "cum": F.col("pop")}, frame="rows", totals=True)
+    r = r.withColumn("q", quintile_cut(F.col("cum"), F.col("cum_total")))
+    pick = lambda sch, c: F.max(F.when(F.col("scheme") == sch, F.col(c)))
+    return (r.groupBy("datazone", "pop", "ca", "hb")
+            .agg(pick("sc", "rank").cast("long").alias("simd_rank"), pick("sc", "q").alias("sc_quin"),
+                 pick("hb", "q").alias("hb_quin"), pick("ca", "q").alias("ca_quin"))
+            .select("datazone", "pop", "simd_rank", "ca", "hb", "sc_quin", "hb_quin", "ca_quin"))
+
+
+def fx_depr_lookup(spark: SparkSession, d: str, simd: DataFrame | None = None) -> DataFrame:
+    """(datazone, year) -> hb, ca and the three quintiles, for every fact year."""
+    s = simd if simd is not None else fx_simd(spark, d)
+    years = _distinct_values(fx_prepared(spark, d), "year")
+    return s.select("datazone", F.explode(years).alias("year"), "pop", "ca", "hb",
+                    "sc_quin", "hb_quin", "ca_quin")
+
+
+def fx_depr_population(spark: SparkSession, d: str, lookup: DataFrame | None = None) -> DataFrame:
+    """Population by (year, code, quintile, quint_type), Totals included."""
+    from ..operators.inequality import quintile_rollup
+
+    lk = lookup if lookup is not None else fx_depr_lookup(spark, d)
+    pop = lk.select("year", "ca", "hb", "sc_quin", "hb_quin", "ca_quin",
+                    F.col("pop").cast("double").alias("denominator"))
+    return quintile_rollup(pop, keys=["year"], measures=["denominator"])
