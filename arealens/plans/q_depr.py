@@ -14,11 +14,11 @@ from .indicator import run_indicator
 from .registry import present, register
 from .spec import IndicatorSpec
 
-DEPR_PCT = IndicatorSpec(ind_id=99101, measure="percent", time_agg=3, yearstart=1992, yearend=1998,
+DEPR_PCT = IndicatorSpec(ind_id=99101, measure="percent", time_agg=3, yearstart=1995, yearend=2001,
                          year_type="calendar")
-DEPR_CRUDE = IndicatorSpec(ind_id=99102, measure="crude", time_agg=1, yearstart=1992, yearend=1998,
+DEPR_CRUDE = IndicatorSpec(ind_id=99102, measure="crude", time_agg=1, yearstart=1995, yearend=2001,
                            year_type="financial", crude_rate=100000)
-QUINT_IND = IndicatorSpec(ind_id=99103, measure="percent", time_agg=1, yearstart=1992, yearend=1998,
+QUINT_IND = IndicatorSpec(ind_id=99103, measure="percent", time_agg=1, yearstart=1995, yearend=2001,
                           year_type="financial")
 VERSIONS = [("a", 1995, 1997), ("b", 1998, 1999), ("c", 2000, 2001)]
 T975 = {1: 12.706204736174698, 2: 4.302652729749464, 3: 3.182446305284263}
@@ -65,9 +65,9 @@ def q_quintile_totals(spark, d):
     ("j", _J),
     ("q", O.quintile_rollup_sql("j", ["year"], ["numerator"])),
     ("rj", "SELECT pp.code, pp.quintile, pp.quint_type, pp.year, coalesce(q.numerator, 0) AS numerator, "
-           "pp.denominator FROM q RIGHT JOIN (SELECT * FROM fx_depr_population WHERE year >= 1992) pp "
+           "pp.denominator FROM q RIGHT JOIN (SELECT * FROM fx_depr_population WHERE year >= 1995) pp "
            "ON q.year = pp.year AND q.code = pp.code AND q.quintile = pp.quintile AND q.quint_type = pp.quint_type "
-           "WHERE pp.year BETWEEN 1992 AND 1998"),
+           "WHERE pp.year BETWEEN 1995 AND 2001"),
     body=O.rolling_sql("rj", ["code", "quintile", "quint_type"], 1)))
 def q_join_population_right(spark, d):
     prep, lk = _lookup_and_prepared(spark, d)
@@ -184,9 +184,9 @@ def q_attach_to_totals(spark, d):
 @register("quintile_filter_indicator", sql=O.with_fx(
     ("j", "SELECT p.year, CAST(s.sc_quin AS VARCHAR) AS quintile, p.numerator, p.denominator, a.ca, a.hb, "
           "'S00000001' AS scotland FROM fx_prepared p LEFT JOIN fx_area a ON p.datazone = a.datazone "
-          "LEFT JOIN fx_simd s ON p.datazone = s.datazone WHERE p.year >= 1992"),
+          "LEFT JOIN fx_simd s ON p.datazone = s.datazone WHERE p.year >= 1995"),
     ("r", O.rollup_sql("j", ["ca", "hb", "scotland"], ["year", "quintile"])),
-    ("l", "SELECT * FROM r WHERE year BETWEEN 1992 AND 1998 AND code IS NOT NULL "
+    ("l", "SELECT * FROM r WHERE year BETWEEN 1995 AND 2001 AND code IS NOT NULL "
           "AND NOT starts_with(code, 'S11')"),
     ("q", f"SELECT code, quintile, year, numerator, {O.percent_sql()} FROM l"),
     ("f", O.finalise_sql("q")),

@@ -24,20 +24,20 @@ from .spec import IndicatorSpec
 LEVELS = ["ca", "hb", "scotland"]
 
 # The flagship: % urgent orders, 3-year rolling, every area level.
-FLAGSHIP = IndicatorSpec(ind_id=99001, measure="percent", time_agg=3, yearstart=1992,
-                         yearend=1998, year_type="calendar", geography="datazone11")
-CRUDE = IndicatorSpec(ind_id=99002, measure="crude", time_agg=1, yearstart=1992, yearend=1998,
+FLAGSHIP = IndicatorSpec(ind_id=99001, measure="percent", time_agg=3, yearstart=1995,
+                         yearend=2001, year_type="calendar", geography="datazone11")
+CRUDE = IndicatorSpec(ind_id=99002, measure="crude", time_agg=1, yearstart=1995, yearend=2001,
                       year_type="calendar", geography="datazone11", crude_rate=1000)
-EASR = IndicatorSpec(ind_id=99003, measure="stdrate", time_agg=3, yearstart=1992, yearend=1998,
+EASR = IndicatorSpec(ind_id=99003, measure="stdrate", time_agg=3, yearstart=1995, yearend=2001,
                      year_type="financial", geography="datazone11", epop_age="normal",
                      epop_total=200000)
-PCF = IndicatorSpec(ind_id=99004, measure="perc_pcf", time_agg=1, yearstart=1992, yearend=1998,
+PCF = IndicatorSpec(ind_id=99004, measure="perc_pcf", time_agg=1, yearstart=1995, yearend=2001,
                     year_type="school", geography="datazone11")
-SCALED = IndicatorSpec(ind_id=99005, measure="crude", time_agg=1, yearstart=1992, yearend=1998,
+SCALED = IndicatorSpec(ind_id=99005, measure="crude", time_agg=1, yearstart=1995, yearend=2001,
                        year_type="calendar", geography="datazone11", crude_rate=1000)
-PCT1 = IndicatorSpec(ind_id=99006, measure="percent", time_agg=1, yearstart=1992, yearend=1998,
+PCT1 = IndicatorSpec(ind_id=99006, measure="percent", time_agg=1, yearstart=1995, yearend=2001,
                      year_type="financial", geography="datazone11")
-EPOP16 = IndicatorSpec(ind_id=99007, measure="stdrate", time_agg=1, yearstart=1993, yearend=1998,
+EPOP16 = IndicatorSpec(ind_id=99007, measure="stdrate", time_agg=1, yearstart=1996, yearend=2001,
                        year_type="calendar", geography="datazone11", epop_age="16+",
                        epop_total=165800)
 
@@ -62,7 +62,7 @@ def _indicator_select(ind: int, year_type: str, n: int) -> str:
                                                       O.labels_sql(year_type, n))
 
 
-def percent_indicator_sql(ind: int, n: int, year_type: str, start=1992, end=1998) -> str:
+def percent_indicator_sql(ind: int, n: int, year_type: str, start=1995, end=2001) -> str:
     return O.with_fx(
         ("j", _joined(start)),
         ("r", O.rollup_sql("j", LEVELS, ["year"])),
@@ -181,11 +181,11 @@ def q_adp_rollup(spark, d):
 
 
 @register("rolling_mean", sql=O.with_fx(
-    ("j", _joined()), ("r", O.rollup_sql("j", LEVELS, ["year"])), ("l", _lev("r", 1992, 1998)),
+    ("j", _joined()), ("r", O.rollup_sql("j", LEVELS, ["year"])), ("l", _lev("r", 1995, 2001)),
     body=O.rolling_sql("l", ["code"], 3, shift=1)))
 def q_rolling_mean(spark, d):
     r = G.geo_rollup(FX.fx_prepared(spark, d), FX.fx_area(spark, d), "datazone", LEVELS, keys=["year"])
-    r = G.level_filter(r.where(F.col("year").between(1992, 1998)))
+    r = G.level_filter(r.where(F.col("year").between(1995, 2001)))
     return present(P.rolling_mean(r, ["code"], 3))
 
 
@@ -246,10 +246,10 @@ def q_period_labels(spark, d):
     *_std_formatted_ctes(EASR)[:5],
     body="SELECT code, year, sex_grp, age_grp, numerator, denominator FROM l"))
 def q_join_population_full(spark, d):
-    std = G.geo_rollup(FX.fx_prepared(spark, d).where(F.col("year") >= 1992), FX.fx_area(spark, d),
+    std = G.geo_rollup(FX.fx_prepared(spark, d).where(F.col("year") >= 1995), FX.fx_area(spark, d),
                        "datazone", LEVELS, keys=["year", "sex_grp", "age_grp"], measures=["numerator"])
     out = POP.join_population_full(std, FX.fx_population(spark, d), ["year", "code", "sex_grp", "age_grp"],
-                                   1992, 1998, adp=False, hscp=True)
+                                   1995, 2001, adp=False, hscp=True)
     return present(out.select("code", "year", "sex_grp", "age_grp", "numerator", "denominator"))
 
 
@@ -377,7 +377,7 @@ def q_count_only(spark, d):
     ("j", "SELECT p.*, a.ca, a.hb, 'S00000001' AS scotland FROM pc p LEFT JOIN fx_area a "
           "ON p.datazone = a.datazone"),
     ("r", O.rollup_sql("j", LEVELS, ["year", "category"])),
-    ("l", _lev("r", 1992, 1998)),
+    ("l", _lev("r", 1995, 2001)),
     ("q", f"SELECT code, category, year, numerator, {O.percent_sql()} FROM l"),
     ("f", O.finalise_sql("q")),
     body="SELECT category, " + _indicator_select(99006, "financial", 1) + " FROM f"))
@@ -392,8 +392,8 @@ def q_split_by_category(spark, d):
 
 
 def _stack_sql():
-    old = percent_indicator_sql(99006, 1, "financial", 1992, 1995)
-    new = percent_indicator_sql(99006, 1, "financial", 1996, 1998)
+    old = percent_indicator_sql(99006, 1, "financial", 1995, 1997)
+    new = percent_indicator_sql(99006, 1, "financial", 1998, 2001)
     return f"SELECT * FROM ({old}) UNION ALL SELECT * FROM ({new})"
 
 
@@ -402,8 +402,8 @@ def q_stack_history(spark, d):
     import dataclasses
 
     prep, area = FX.fx_prepared(spark, d), FX.fx_area(spark, d)
-    old = run_indicator(prep, dataclasses.replace(PCT1, yearend=1995), area, "datazone", LEVELS)
-    new = run_indicator(prep, dataclasses.replace(PCT1, yearstart=1996), area, "datazone", LEVELS)
+    old = run_indicator(prep, dataclasses.replace(PCT1, yearend=1997), area, "datazone", LEVELS)
+    new = run_indicator(prep, dataclasses.replace(PCT1, yearstart=1998), area, "datazone", LEVELS)
     return present(old.unionByName(new, allowMissingColumns=True))
 
 

@@ -34,9 +34,15 @@ def fx_area(spark: SparkSession, d: str) -> DataFrame:
                     F.lit(SCOTLAND).alias("scotland")))
 
 
-def fx_prepared(spark: SparkSession, d: str) -> DataFrame:
-    """Prepared fact: (year, datazone, sex_grp, age_grp) -> urgent orders / all orders."""
-    o = read_table(spark, d, "orders", ["o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"])
+def fx_prepared(spark: SparkSession, d: str, exclude_status: str | None = None) -> DataFrame:
+    """Prepared fact: (year, datazone, sex_grp, age_grp) -> urgent orders / all orders.
+
+    ``exclude_status`` drops orders of one status (an 'earlier extract' for QA).
+    """
+    o = read_table(spark, d, "orders", ["o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority",
+                                        "o_orderstatus"])
+    if exclude_status:
+        o = o.where(F.col("o_orderstatus") != exclude_status)
     return (o.groupBy(F.year("o_orderdate").cast("int").alias("year"),
                       F.col("o_custkey").alias("datazone"),
                       (1 + F.col("o_orderkey") % 2).cast("int").alias("sex_grp"),
