@@ -4,3 +4,4 @@ from . import q_indicator  # noqa: F401
 from . import q_episodes  # noqa: F401
 from . import q_depr  # noqa: F401
 from . import q_qa  # noqa: F401
+from . import q_ingest  # noqa: F401

@@ -46,18 +46,17 @@ def read_prepared(df: DataFrame, yearstart: int | None = None,
     return out
 
 
-def read_csv(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
-    """CSV with a header row; column names lower- and snake-cased.
+def read_csv(spark: SparkSession, path: str, types: dict[str, str] | None = None) -> DataFrame:
+    """CSV with a header row; column names lower- and snake-cased, then typed.
 
-    Pass ``schema`` in production (no inference pass over the data).
+    Columns are read as text (no inference pass over the data) and cast with
+    ``types`` (snake-cased name -> SQL type); unparsable values become NULL.
     """
-    reader = spark.read.option("header", True)
-    if schema:
-        reader = reader.schema(schema).option("enforceSchema", False)
-    else:
-        reader = reader.option("inferSchema", True)
-    df = reader.csv(path)
-    return df.toDF(*[snake_case(c) for c in df.columns])
+    df = spark.read.option("header", True).csv(path)
+    df = df.toDF(*[snake_case(c) for c in df.columns])
+    for c, t in (types or {}).items():
+        df = df.withColumn(c, F.col(c).try_cast(t))
+    return df
 
 
 def union_all(frames, allow_missing: bool = False) -> DataFrame:
