@@ -54,67 +54,70 @@ def quintile_rollup(df: DataFrame, keys=("year",), measures=("numerator", "denom
     return out.where(F.col("code").isNotNull() & F.col("quintile").isNotNull())
 
 
-def inequality_measures(rt: DataFrame, group=GROUP) -> DataFrame:
-    """Group-level SII / RII / PAR / ranges from per-quintile rates.
+def with_inequality_measures(rt: DataFrame, group=GROUP) -> DataFrame:
+    """Attach SII / RII / PAR / ranges of its group to every row (quintiles and 'Total').
 
-    ``rt``: rows (group..., quintile, rate, denominator) including the
-    'Total' row of each group.  Output: one row per group.
+    ``rt``: rows (group..., quintile, rate, denominator).  Everything is a
+    window over the group - at most six rows - so the input is read once,
+    shuffled once, and no aggregate is joined back.
     """
     group = list(group)
-    totals = (rt.where(F.col("quintile") == "Total")
-              .groupBy(*group).agg(F.max("rate").alias("overall_rate")))
-    det = rt.where(F.col("quintile") != "Total")
+    q = F.col("quintile")
+    detail = q != "Total"
     wg = Window.partitionBy(*group)
-    wo = wg.orderBy(F.col("quintile").cast("int")).rowsBetween(Window.unboundedPreceding, 0)
-    valid = F.col("rate").isNotNull()
-    pw = F.when(valid, F.col("p"))
-    det = (det.withColumn("p", S.div(F.col("denominator"), F.sum("denominator").over(wg)))
-           .withColumn("cnt", F.count(F.lit(1)).over(wg))
-           .withColumn("x", F.sum("p").over(wo) - F.col("p") / 2)
-           .withColumn("least_rate", F.max(F.when(F.col("quintile") == "5", F.col("rate"))).over(wg))
-           .withColumn("most_rate", F.max(F.when(F.col("quintile") == "1", F.col("rate"))).over(wg))
-           .withColumn("sw", F.sum(pw).over(wg)))
-    det = (det.withColumn("xbar", S.div(F.sum(pw * F.col("x")).over(wg), F.col("sw")))
-           .withColumn("ybar", S.div(F.sum(pw * F.col("rate")).over(wg), F.col("sw"))))
-    dx, dy = F.col("x") - F.col("xbar"), F.col("rate") - F.col("ybar")
-    det = (det.withColumn("sxx", F.sum(pw * dx * dx).over(wg))
-           .withColumn("sxy", F.sum(pw * dx * dy).over(wg))
-           .withColumn("m", F.count(F.when(valid, 1)).over(wg)))
-    det = det.withColumn("b", S.div(F.col("sxy"), F.col("sxx")))
-    resid = dy - F.col("b") * dx
-    det = det.withColumn("rss", F.sum(pw * resid * resid).over(wg))
-    det = det.withColumn("par_rr", (S.div(F.col("rate"), F.col("least_rate")) - 1) * F.col("p"))
-    g = det.groupBy(*group).agg(
-        F.max("cnt").alias("cnt"), F.max("m").alias("m"), F.max("b").alias("b"),
-        F.max("rss").alias("rss"), F.max("sxx").alias("sxx"),
-        F.max("most_rate").alias("most_rate"), F.max("least_rate").alias("least_rate"),
-        F.sum("par_rr").alias("par_sum"), F.count("par_rr").alias("par_n"))
+    wo = wg.orderBy(q.try_cast("int")).rowsBetween(Window.unboundedPreceding, 0)
+    valid = F.col("rate").isNotNull() & detail
+    pw = F.when(valid, F.col("_p"))
+    out = rt.withColumn("_d", F.when(detail, F.col("denominator")))
+    out = out.withColumns({
+        "_p": S.div(F.col("_d"), F.sum("_d").over(wg)),
+        "_cnt": F.count(F.when(detail, 1)).over(wg),
+        "_overall": F.max(F.when(~detail, F.col("rate"))).over(wg),
+        "_least": F.max(F.when(q == "5", F.col("rate"))).over(wg),
+        "_most": F.max(F.when(q == "1", F.col("rate"))).over(wg)})
+    out = out.withColumns({"_x": F.sum("_p").over(wo) - F.col("_p") / 2, "_sw": F.sum(pw).over(wg)})
+    out = out.withColumns({"_xbar": S.div(F.sum(pw * F.col("_x")).over(wg), F.col("_sw")),
+                           "_ybar": S.div(F.sum(pw * F.col("rate")).over(wg), F.col("_sw"))})
+    dx, dy = F.col("_x") - F.col("_xbar"), F.col("rate") - F.col("_ybar")
+    out = out.withColumns({"_sxx": F.sum(pw * dx * dx).over(wg), "_sxy": F.sum(pw * dx * dy).over(wg),
+                           "_m": F.count(F.when(valid, 1)).over(wg)})
+    out = out.withColumn("_b", S.div(F.col("_sxy"), F.col("_sxx")))
+    resid = dy - F.col("_b") * dx
+    par_rr = F.when(detail, (S.div(F.col("rate"), F.col("_least")) - 1) * F.col("_p"))
+    out = out.withColumns({"_rss": F.sum(pw * resid * resid).over(wg), "_par_sum": F.sum(par_rr).over(wg),
+                           "_par_n": F.count(par_rr).over(wg)})
     tcol = F.element_at(F.create_map(*[x for k, v in S.T975.items() for x in (F.lit(k), F.lit(v))]),
-                        (F.col("m") - 2).cast("int"))
-    se = F.sqrt(S.div(S.div(F.col("rss"), F.col("m") - 2), F.col("sxx")))
-    has_sii = (F.col("cnt") == 5) & (F.col("m") >= 2) & (F.col("sxx") > 0)
-    has_ci = has_sii & (F.col("m") >= 3)
-    g = (g.withColumn("sii", F.when(has_sii, -F.col("b")))
-         .withColumn("lowci_sii", F.when(has_ci, -(F.col("b") + tcol * se)))
-         .withColumn("upci_sii", F.when(has_ci, -(F.col("b") - tcol * se))))
-    g = g.join(totals, group, "left")
-    for c in ("sii", "lowci_sii", "upci_sii"):
-        name = c.replace("sii", "rii")
-        g = g.withColumn(name, S.div(F.col(c), F.col("overall_rate")))
-    for c in ("rii", "lowci_rii", "upci_rii"):
-        g = g.withColumn(c.replace("rii", "rii_int"), F.col(c) * 0.5 * 100)
-    par_ok = (F.col("cnt") == 5) & (F.col("par_n") == F.col("cnt"))
-    g = (g.withColumn("par", F.when(par_ok, S.div(F.col("par_sum"), F.col("par_sum") + 1) * 100))
-         .withColumn("abs_range", F.col("most_rate") - F.col("least_rate"))
-         .withColumn("rel_range", S.div(F.col("most_rate"), F.col("least_rate"))))
-    return g.select(*group, "sii", "lowci_sii", "upci_sii", "rii", "lowci_rii", "upci_rii",
-                    "rii_int", "lowci_rii_int", "upci_rii_int", "par", "abs_range", "rel_range")
+                        (F.col("_m") - 2).cast("int"))
+    se = F.sqrt(S.div(S.div(F.col("_rss"), F.col("_m") - 2), F.col("_sxx")))
+    has_sii = (F.col("_cnt") == 5) & (F.col("_m") >= 2) & (F.col("_sxx") > 0)
+    has_ci = has_sii & (F.col("_m") >= 3)
+    sii = {"sii": F.when(has_sii, -F.col("_b")),
+           "lowci_sii": F.when(has_ci, -(F.col("_b") + tcol * se)),
+           "upci_sii": F.when(has_ci, -(F.col("_b") - tcol * se))}
+    cols = dict(sii)
+    for name, e in sii.items():
+        rii = S.div(e, F.col("_overall"))
+        cols[name.replace("sii", "rii")] = rii
+        cols[name.replace("sii", "rii_int")] = rii * 0.5 * 100
+    par_ok = (F.col("_cnt") == 5) & (F.col("_par_n") == F.col("_cnt"))
+    cols["par"] = F.when(par_ok, S.div(F.col("_par_sum"), F.col("_par_sum") + 1) * 100)
+    cols["abs_range"] = F.col("_most") - F.col("_least")
+    cols["rel_range"] = S.div(F.col("_most"), F.col("_least"))
+    out = out.withColumns(cols)
+    return out.drop(*[c for c in out.columns if c.startswith("_")])
+
+
+def inequality_measures(rt: DataFrame, group=GROUP) -> DataFrame:
+    """One row per group with its inequality measures (groups with no
+    quintile rows are not reported)."""
+    out = with_inequality_measures(rt, group).where(F.col("quintile") != "Total")
+    return out.dropDuplicates(list(group)).select(*group, *MEASURE_COLS)
 
 
 MEASURE_COLS = ["sii", "lowci_sii", "upci_sii", "rii", "lowci_rii", "upci_rii", "rii_int",
                 "lowci_rii_int", "upci_rii_int", "par", "abs_range", "rel_range"]
 
 
-def attach_to_totals(rt: DataFrame, measures: DataFrame, group=GROUP) -> DataFrame:
+def attach_to_totals(rt: DataFrame, group=GROUP) -> DataFrame:
     """Every quintile row and every 'Total' row carries its group's measures."""
-    return rt.join(measures, list(group), "left")
+    return with_inequality_measures(rt, group)

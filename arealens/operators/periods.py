@@ -23,10 +23,8 @@ def rolling_mean(df: DataFrame, group_keys, time_agg: int,
     """
     tf = time_fix(time_agg)
     w = Window.partitionBy(*group_keys).orderBy(year_col).rowsBetween(-(time_agg - 1), 0)
-    out = df
-    for c in cols:
-        if c in df.columns:
-            out = out.withColumn(c, F.when(F.count(c).over(w) == time_agg, F.avg(c).over(w)))
+    out = df.withColumns({c: F.when(F.count(c).over(w) == time_agg, F.avg(c).over(w))
+                          for c in cols if c in df.columns})
     if required in out.columns:
         out = out.where(F.col(required).isNotNull())
     return out.withColumn(year_col, (F.col(year_col) - tf).cast("int"))
@@ -36,7 +34,7 @@ def add_period_labels(df: DataFrame, year_type: str, time_agg: int,
                       legacy_five_year: bool = False, year_col: str = "year") -> DataFrame:
     """Add ``trend_axis`` and ``def_period`` text from the (centre) year."""
     axis, period = _labels(year_col, year_type, time_agg, legacy_five_year)
-    return df.withColumn("trend_axis", axis).withColumn("def_period", period)
+    return df.withColumns({"trend_axis": axis, "def_period": period})
 
 
 def latest_year(df: DataFrame, year_col: str = "year", by=()) -> DataFrame:

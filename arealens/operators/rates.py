@@ -17,17 +17,15 @@ def rate_percent(df: DataFrame, round_ci: int | None = 2) -> DataFrame:
     unrounded (``None``, inequality runs).
     """
     rate, low, up = S.wilson_bounds("numerator", "denominator")
-    return (df.withColumn("rate", rate)
-            .withColumn("lowci", S.clamp_pct_low(low, round_ci))
-            .withColumn("upci", S.clamp_pct_up(up, round_ci)))
+    return df.withColumns({"rate": rate, "lowci": S.clamp_pct_low(low, round_ci),
+                           "upci": S.clamp_pct_up(up, round_ci)})
 
 
 def rate_crude(df: DataFrame, per: float = 100000) -> DataFrame:
     """Crude rate n/d*per with Byar's Poisson interval."""
     n, d = F.col("numerator"), F.col("denominator")
-    return (df.withColumn("rate", S.div(n, d) * per)
-            .withColumn("lowci", S.div(S.byar_lower(n), d) * per)
-            .withColumn("upci", S.div(S.byar_upper(n), d) * per))
+    return df.withColumns({"rate": S.div(n, d) * per, "lowci": S.div(S.byar_lower(n), d) * per,
+                           "upci": S.div(S.byar_upper(n), d) * per})
 
 
 def add_epop(df: DataFrame, epop_age: str) -> DataFrame:
@@ -55,9 +53,9 @@ def rate_easr(df: DataFrame, epop_total: float, group_keys=("year", "code")) ->
     easr = F.col("_easr_first") / F.lit(float(epop_total))
     var = F.col("_var_dsr") / F.lit(float(epop_total) ** 2)
     spread = F.sqrt(S.div(var, n))
-    return (agg.withColumn("rate", easr * 100000)
-            .withColumn("lowci", (easr + spread * (S.byar_lower(n) - n)) * 100000)
-            .withColumn("upci", (easr + spread * (S.byar_upper(n) - n)) * 100000)
+    return (agg.withColumns({"rate": easr * 100000,
+                             "lowci": (easr + spread * (S.byar_lower(n) - n)) * 100000,
+                             "upci": (easr + spread * (S.byar_upper(n) - n)) * 100000})
             .drop("_easr_first", "_var_dsr"))
 
 
@@ -86,21 +84,17 @@ def rate_perc_pcf(df: DataFrame, ref_pop: DataFrame, time_agg: int, keys=("code"
     pcf = F.when(P > 0, F.sqrt(S.div(P - d, P - 1))).when(P == 0, F.lit(1.0))
     rate = S.div(F.col("numerator"), d) * 100
     ci = F.when(P < d, F.lit(0.0)).when(P >= d, S.Z * F.sqrt(S.div(rate * (100 - rate), d) * pcf))
-    return (out.withColumn("rate", rate)
-            .withColumn("_ci", ci)
-            .withColumn("lowci", S.clamp_pct_low(F.col("rate") - F.col("_ci")))
-            .withColumn("upci", S.clamp_pct_up(F.col("rate") + F.col("_ci")))
-            .drop("_ci", "est_pop"))
+    return (out.withColumns({"rate": rate, "lowci": S.clamp_pct_low(rate - ci),
+                             "upci": S.clamp_pct_up(rate + ci)})
+            .drop("est_pop"))
 
 
 def finalise_nulls(df: DataFrame, cols=("rate", "lowci", "upci")) -> DataFrame:
     """Null / NaN rate and CIs -> 0, negative lower CI -> 0."""
-    out = df
-    for c in cols:
-        out = out.withColumn(c, S.zero_if_missing(c))
-    if "lowci" in cols:
-        out = out.withColumn("lowci", F.when(F.col("lowci") < 0, F.lit(0.0)).otherwise(F.col("lowci")))
-    return out
+    new = {c: S.zero_if_missing(c) for c in cols}
+    if "lowci" in new:
+        new["lowci"] = F.when(new["lowci"] < 0, F.lit(0.0)).otherwise(new["lowci"])
+    return df.withColumns(new)
 
 
 def count_only(df: DataFrame) -> DataFrame:

@@ -54,7 +54,7 @@ def run_deprivation(prepared: DataFrame, spec: IndicatorSpec, lookup: DataFrame,
     rt = quintile_rates(formatted(prepared, spec, lookup, population), spec, ref_pop)
     rt = rt.select("code", "year", "quintile", "quint_type", "numerator", "denominator",
                    "rate", "lowci", "upci")
-    out = I.attach_to_totals(rt, I.inequality_measures(rt))
+    out = I.attach_to_totals(rt)
     out = R.finalise_nulls(out).withColumn("ind_id", F.lit(spec.ind_id))
     out = P.add_period_labels(out, spec.year_type, spec.time_agg, spec.legacy_five_year_labels)
     return out.select(*INEQUALITY_COLUMNS)

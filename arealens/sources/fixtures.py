@@ -65,29 +65,36 @@ def area_counts(spark: SparkSession, d: str) -> DataFrame:
             .groupBy("code").agg(F.count(F.lit(1)).alias("n")))
 
 
+def _domains(spark: SparkSession, d: str) -> F.Column:
+    """One scalar subquery: the distinct years, sexes and age bands of the
+    prepared fact (a handful of values each), as a struct of sorted arrays.
+    Callers project it once into a column, so the subquery runs once."""
+    p = fx_prepared(spark, d)
+    return p.select(F.struct(F.array_sort(F.collect_set("year")).alias("year"),
+                             F.array_sort(F.collect_set("sex_grp")).alias("sex_grp"),
+                             F.array_sort(F.collect_set("age_grp")).alias("age_grp"))).scalar()
+
+
 def fx_population(spark: SparkSession, d: str, per_band: int = 40) -> DataFrame:
     """Population per (year, code, sex, age band): ``per_band`` residents per datazone.
 
-    The year / sex / age domains come from the prepared fact as scalar
-    subqueries (a handful of values each) and are exploded per area row, so
-    no join is needed to form the grid.
+    The year / sex / age domains come from the prepared fact (one scalar
+    subquery) and are exploded per area row, so no join is needed to form
+    the grid.
     """
-    p = fx_prepared(spark, d)
-    return (area_counts(spark, d)
-            .select("code", "n",
-                    F.explode(_distinct_values(p, "year")).alias("year"))
-            .select("year", "code", "n", F.explode(_distinct_values(p, "sex_grp")).alias("sex_grp"))
-            .select("year", "code", "sex_grp", "n",
-                    F.explode(_distinct_values(p, "age_grp")).alias("age_grp"))
+    return (area_counts(spark, d).select("code", "n", _domains(spark, d).alias("_dom"))
+            .select("code", "n", "_dom", F.explode("_dom.year").alias("year"))
+            .select("year", "code", "n", "_dom", F.explode("_dom.sex_grp").alias("sex_grp"))
+            .select("year", "code", "sex_grp", "n", F.explode("_dom.age_grp").alias("age_grp"))
             .select("year", "code", "sex_grp", "age_grp",
                     (F.lit(float(per_band)) * F.col("n")).alias("denominator")))
 
 
 def fx_population_total(spark: SparkSession, d: str, per_area: int = 20) -> DataFrame:
     """All-ages population per (year, code): ``per_area`` residents per datazone."""
-    p = fx_prepared(spark, d)
+    years = _distinct_values(fx_prepared(spark, d), "year")
     return (area_counts(spark, d)
-            .select("code", "n", F.explode(_distinct_values(p, "year")).alias("year"))
+            .select("code", "n", F.explode(years).alias("year"))
             .select("year", "code", (F.lit(float(per_area)) * F.col("n")).alias("denominator")))
 
 
