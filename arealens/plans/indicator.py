@@ -69,10 +69,11 @@ def rates(df: DataFrame, spec: IndicatorSpec, ref_pop: DataFrame | None = None,
 def finalised(df: DataFrame, spec: IndicatorSpec, ref_pop: DataFrame | None = None,
               extra_keys=()) -> DataFrame:
     """Stage two: rates, null policy, labels, fixed columns."""
-    out = rates(df, spec, ref_pop, extra_keys)
-    out = R.finalise_nulls(out).withColumn("ind_id", F.lit(spec.ind_id))
+    out = R.finalise_nulls(rates(df, spec, ref_pop, extra_keys))
+    if "ind_id" not in extra_keys:  # a batch of indicators carries ind_id as a key
+        out = out.withColumn("ind_id", F.lit(spec.ind_id))
     out = P.add_period_labels(out, spec.year_type, spec.time_agg, spec.legacy_five_year_labels)
-    return out.select(*extra_keys, *INDICATOR_COLUMNS)
+    return out.select(*[k for k in extra_keys if k != "ind_id"], *INDICATOR_COLUMNS)
 
 
 def run_indicator(prepared: DataFrame, spec: IndicatorSpec, lookup: DataFrame, base_col: str,
