@@ -54,8 +54,14 @@ def fx_prepared(spark: SparkSession, d: str, exclude_status: str | None = None)
 
 
 def _distinct_values(df: DataFrame, c: str) -> F.Column:
-    """Scalar subquery: the (small) set of distinct values of a domain column."""
-    return df.select(F.array_sort(F.collect_set(c))).scalar()
+    """The distinct values of a small domain column (years, sexes, age bands) as a literal array.
+
+    One aggregate job with map-side partial sets; the result is a few dozen
+    values at most and becomes a constant of the plan, so it is computed
+    once however often the optimizer copies it.
+    """
+    vals = df.agg(F.array_sort(F.collect_set(c)).alias("v")).first()["v"]
+    return F.array(*[F.lit(v) for v in vals])
 
 
 def area_counts(spark: SparkSession, d: str) -> DataFrame:
@@ -66,13 +72,13 @@ def area_counts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _domains(spark: SparkSession, d: str) -> F.Column:
-    """One scalar subquery: the distinct years, sexes and age bands of the
-    prepared fact (a handful of values each), as a struct of sorted arrays.
-    Callers project it once into a column, so the subquery runs once."""
+    """The distinct years, sexes and age bands of the prepared fact, in one
+    aggregate job, as a literal struct of sorted arrays (a few dozen values)."""
     p = fx_prepared(spark, d)
-    return p.select(F.struct(F.array_sort(F.collect_set("year")).alias("year"),
-                             F.array_sort(F.collect_set("sex_grp")).alias("sex_grp"),
-                             F.array_sort(F.collect_set("age_grp")).alias("age_grp"))).scalar()
+    row = p.agg(F.array_sort(F.collect_set("year")).alias("year"),
+                F.array_sort(F.collect_set("sex_grp")).alias("sex_grp"),
+                F.array_sort(F.collect_set("age_grp")).alias("age_grp")).first()
+    return F.struct(*[F.array(*[F.lit(v) for v in row[c]]).alias(c) for c in ("year", "sex_grp", "age_grp")])
 
 
 def fx_population(spark: SparkSession, d: str, per_band: int = 40) -> DataFrame:
