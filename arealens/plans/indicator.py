@@ -36,7 +36,14 @@ def formatted(prepared: DataFrame, spec: IndicatorSpec, lookup: DataFrame, base_
     strata = ["sex_grp", "age_grp"] if std else []
     keys = ["year", *strata, *extra_keys]
     data = read_prepared(prepared, spec.yearstart)
-    rolled = G.geo_rollup(data, lookup, base_col, level_cols, keys=keys, keep_base=keep_base)
+    if spec.geography == "all":
+        # the prepared fact already carries every area code: sum duplicates only
+        measures = [m for m in ("numerator", "denominator") if m in data.columns]
+        rolled = data.groupBy("code", *keys).agg(
+            *[F.coalesce(F.sum(m), F.lit(0.0)).cast("double").alias(m) for m in measures])
+    else:
+        rolled = G.geo_rollup(data, lookup, base_col, level_cols, keys=keys,
+                              keep_base=keep_base or spec.geography == "council")
     hscp_filter = spec.hscp or spec.geography == "datazone11"
     if population is not None:
         pop = population.withColumn("year", F.col("year").cast("int"))

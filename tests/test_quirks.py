@@ -62,3 +62,23 @@ def test_nan_does_not_clamp_to_100(spark):
     df = spark.createDataFrame([(float("nan"), 1.0)], "numerator double, denominator double")
     out = R.finalise_nulls(R.rate_percent(df)).collect()[0]
     assert out["upci"] == 0.0
+
+
+def test_geography_all_and_council_modes(spark):
+    from arealens.plans.indicator import run_indicator
+
+    spec_all = IndicatorSpec(ind_id=1, measure="percent", time_agg=1, yearstart=2000, yearend=2001,
+                             year_type="calendar", geography="all")
+    pre = spark.createDataFrame([("S12000001", 2000, 1.0, 4.0), ("S12000001", 2000, 1.0, 4.0),
+                                 ("S00000001", 2001, 3.0, 6.0)],
+                                "code string, year int, numerator double, denominator double")
+    out = {(r["code"], r["year"]): r["rate"] for r in run_indicator(pre, spec_all, None, None, []).collect()}
+    assert out == {("S12000001", 2000): 25.0, ("S00000001", 2001): 50.0}
+
+    spec_ca = IndicatorSpec(ind_id=2, measure="percent", time_agg=1, yearstart=2000, yearend=2000,
+                            year_type="calendar", geography="council")
+    pre = spark.createDataFrame([("S12000001", 2000, 1.0, 4.0), ("S12000002", 2000, 3.0, 4.0)],
+                                "ca string, year int, numerator double, denominator double")
+    lk = spark.createDataFrame([("S12000001", "S08000001"), ("S12000002", "S08000001")], "ca string, hb string")
+    out = {r["code"]: r["numerator"] for r in run_indicator(pre, spec_ca, lk, "ca", ["hb", "scotland"]).collect()}
+    assert out == {"S12000001": 1.0, "S12000002": 3.0, "S08000001": 4.0, "S00000001": 4.0}
