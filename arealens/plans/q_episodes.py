@@ -218,3 +218,55 @@ def q_age_subset(spark, d):
 def q_fin_year(spark, d):
     o = read_table(spark, d, "orders", ["o_orderkey", "o_orderdate"])
     return o.select("o_orderkey", fin_year("o_orderdate").alias("fin_year"))
+
+
+# ---- the whole source flow: episodes -> stays -> areas -> indicator --------------------------------
+def _episode_rates_sql() -> str:
+    any_hit = " OR ".join(f"coalesce(regexp_matches({c}, 'F10|K25'), false)" for c in DIAG_COLS)
+    stays = _STAYS_SQL.replace("FROM fx_episode)", "FROM e2)").replace(
+        _FIN.format(d="l.discharge_date"), "CAST(year(l.discharge_date) AS INT)")
+    return O.with_fx(
+        ("q", f"SELECT DISTINCT link_no, cis_marker FROM fx_episode_wide WHERE {any_hit}"),
+        ("e2", "SELECT e.* FROM fx_episode e JOIN q ON e.link_no = q.link_no AND e.cis_marker = q.cis_marker"),
+        ("s", stays),
+        ("cnt", "SELECT s.year, p.ca, CAST(count(*) AS DOUBLE) AS numerator FROM s JOIN fx_postcode p "
+                "ON s.pc7 = p.pc7 GROUP BY 1, 2"),
+        ("lk", "SELECT DISTINCT ca, hb FROM fx_area"),
+        ("j", "SELECT cnt.*, lk.hb, 'S00000001' AS scotland FROM cnt LEFT JOIN lk ON cnt.ca = lk.ca"),
+        ("r", O.rollup_sql("j", ["ca", "hb", "scotland"], ["year"], measures=("numerator",))),
+        ("pp", "SELECT y.year, c.code, CAST(20 * c.n AS DOUBLE) AS denominator FROM fx_counts c, "
+               "(SELECT DISTINCT year FROM cnt) y WHERE NOT starts_with(c.code, 'S11') AND NOT starts_with(c.code, 'S37')"),
+        ("fj", "SELECT coalesce(r.year, pp.year) AS year, coalesce(r.code, pp.code) AS code, "
+               "coalesce(r.numerator, 0) AS numerator, pp.denominator FROM r FULL JOIN pp "
+               "ON r.year = pp.year AND r.code = pp.code"),
+        ("l", "SELECT * FROM fj WHERE year BETWEEN 2020 AND 2030 AND code IS NOT NULL "
+              "AND NOT starts_with(code, 'S11') AND NOT starts_with(code, 'S37') AND denominator IS NOT NULL"),
+        ("qq", f"SELECT code, year, numerator, {O.crude_sql(100000)} FROM l"),
+        ("f", O.finalise_sql("qq")),
+        body=("SELECT " + O.INDICATOR_SELECT.format(ind=99401).replace(
+            "def_period, trend_axis", O.labels_sql("calendar", 1)) + " FROM f"))
+
+
+@register("episode_rates", sql=_episode_rates_sql())
+def q_episode_rates(spark, d):
+    """Stays with any qualifying diagnosis -> council counts -> crude rate per 100,000.
+
+    One plan from the episode scan to the published rows: a semi join keeps
+    whole stays, one aggregate collapses them, a join places them, one
+    roll-up reaches every level, and the population join and rates follow.
+    """
+    from .indicator import run_indicator
+    from .spec import IndicatorSpec
+
+    ep = FX.fx_episode_wide(spark, d)
+    kept = E.semi_stay(ep, E.diag_match(DIAG_COLS, "F10|K25"))
+    stays = E.stay_collapse(kept, stay_year="cal_last_discharge")
+    placed = stays.join(FX.fx_postcode(spark, d).select("pc7", "ca"), "pc7", "inner")
+    prepared = E.event_count(placed, ["year", "ca"])
+    spec = IndicatorSpec(ind_id=99401, measure="crude", time_agg=1, yearstart=2020, yearend=2030,
+                         year_type="calendar", geography="council", crude_rate=100000)
+    lookup = FX.fx_area(spark, d).select("ca", "hb").distinct()
+    years = FX._distinct_values(prepared, "year")
+    pop = (FX.area_counts(spark, d).select("code", "n", F.explode(years).alias("year"))
+           .select("year", "code", (F.col("n") * 20.0).alias("denominator")))
+    return present(run_indicator(prepared, spec, lookup, "ca", ["hb", "scotland"], population=pop))
