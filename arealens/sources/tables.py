@@ -21,10 +21,21 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
+_SCANS: dict[tuple[int, str], DataFrame] = {}
+
+
+def _scan(spark: SparkSession, path: str) -> DataFrame:
+    """The (lazy) parquet relation of a path, listed once per session."""
+    key = (id(spark._jsparkSession), path)
+    if key not in _SCANS:
+        _SCANS[key] = spark.read.parquet(path)
+    return _SCANS[key]
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str, columns=None,
                where: Column | None = None) -> DataFrame:
     """Parquet scan of one base table with optional projection and predicate."""
-    df = spark.read.parquet(table_path(sf_dir, name))
+    df = _scan(spark, table_path(sf_dir, name))
     if where is not None:
         df = df.where(where)
     if columns:
