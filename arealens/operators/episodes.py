@@ -122,22 +122,16 @@ def stay_or_death_union(stays: DataFrame, deaths: DataFrame, keys=("link_no", "c
 
 def washout_incidence(stays: DataFrame, person: str = "link_no", admission: str = "admission_date",
                       discharge: str = "discharge_date", tiebreak: str = "cis_marker",
-                      washout_days: int = 3650, scale_days: float | None = None) -> DataFrame:
-    """Flag new cases: no earlier stay, or a gap from the previous stay's discharge.
-
-    The gap is measured from the *previous row's* discharge (as the reference
-    does).  With ``scale_days`` the gap is ``days / scale_days`` compared with
-    ``washout_days / scale_days`` (years of 365 days in the reference).  The
-    previous row comes from :func:`sequence.previous_values`, so a person with
-    a very long history is split across tasks.
+                      washout: float = 10, unit_days: float = 365) -> DataFrame:
+    """Flag new cases: no earlier stay, or ``days / unit_days >= washout`` since the
+    *previous row's* discharge (10 years of 365 days in the reference).
+
+    The previous row comes from :func:`sequence.previous_values`, so a person
+    with a very long history is split across tasks.
     """
     prev = sequence.previous_values(stays, [person], [admission, tiebreak], [discharge], prefix="prev_")
-    gap = F.datediff(F.col(admission), F.col(f"prev_{discharge}"))
-    if scale_days:
-        ok = (gap / scale_days) >= (washout_days / scale_days)
-    else:
-        ok = gap >= washout_days
-    return prev.withColumn("new_case", F.col(f"prev_{discharge}").isNull() | ok)
+    gap = F.datediff(F.col(admission), F.col(f"prev_{discharge}")) / F.lit(float(unit_days))
+    return prev.withColumn("new_case", F.col(f"prev_{discharge}").isNull() | (gap >= washout))
 
 
 def multi_admission(stays: DataFrame, area_cols, person: str = "link_no", year_col: str = "year",

@@ -160,7 +160,7 @@ def q_stay_or_death_union(spark, d):
 def q_washout_incidence(spark, d):
     stays = E.stay_collapse_min(FX.fx_episode(spark, d)).select(
         "link_no", "cis_marker", "admission_date", "discharge_date")
-    return E.washout_incidence(stays, washout_days=3)
+    return E.washout_incidence(stays, washout=3, unit_days=1)
 
 
 @register("multi_admission", sql=O.with_fx(

@@ -38,7 +38,7 @@ def test_q14_washout_uses_previous_row(spark):
         "link_no int, cis_marker string, admission_date string, discharge_date string")
     stays = stays.select("link_no", "cis_marker", F.to_date("admission_date").alias("admission_date"),
                          F.to_date("discharge_date").alias("discharge_date"))
-    out = {r["cis_marker"]: r["new_case"] for r in E.washout_incidence(stays, washout_days=90).collect()}
+    out = {r["cis_marker"]: r["new_case"] for r in E.washout_incidence(stays, washout=90, unit_days=1).collect()}
     # 'c' is 120 days after 'b' ends although 'a' (earlier row) is still open: previous-row rule
     assert out == {"a": True, "b": False, "c": True}
 
