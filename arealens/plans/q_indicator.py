@@ -117,8 +117,10 @@ def easr_indicator_sql(spec: IndicatorSpec) -> str:
 @register("sink_indicator", sql=percent_indicator_sql(99001, 3, "calendar"))
 def q_sink_indicator(spark, d):
     """Write the indicator partitioned by ind_id to the shared folder and read it back."""
+    from ..sources.sinks import write_indicator
+
     path = scratch_path(spark, "indicator")
-    flagship(spark, d).write.mode("overwrite").partitionBy("ind_id").parquet(path)
+    write_indicator(flagship(spark, d), path, csv_path=path + "-csv")
     back = spark.read.parquet(path)
     return present(back.select(*INDICATOR_COLUMNS))
 
