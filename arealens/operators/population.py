@@ -9,16 +9,19 @@ from .geography import level_filter
 
 
 def join_population_full(df: DataFrame, pop: DataFrame, keys, yearstart: int, yearend: int,
-                         adp: bool = False, hscp: bool = True) -> DataFrame:
+                         adp: bool = False, hscp: bool = True, pop_hscp: bool | None = None) -> DataFrame:
     """Full outer join of area counts with the population on ``keys``.
 
     Areas/years with population but no events get numerator 0; events with no
     population keep a null denominator and are dropped later by the rolling
     step.  Join keys are coalesced (USING join).  Both sides are aggregated
-    area-level tables, so the shuffle is on small data.
+    area-level tables, so the shuffle is on small data.  ``pop_hscp`` filters
+    partnership codes of the population separately from the data (the
+    reference's rules differ for the two sides).
     """
     keys = list(keys)
-    pop = level_filter(pop.where(F.col("year") >= yearstart), adp=adp, hscp=hscp)
+    pop_hscp = hscp if pop_hscp is None else pop_hscp
+    pop = level_filter(pop.where(F.col("year") >= yearstart), adp=adp, hscp=pop_hscp)
     left = df.drop("denominator") if "denominator" in df.columns else df
     joined = left.join(pop.select(*keys, "denominator"), on=keys, how="full")
     out = joined.where(F.col("year").between(yearstart, yearend))

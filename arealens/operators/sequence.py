@@ -26,19 +26,18 @@ from pyspark.sql import functions as F
 PID = "_seq_pid"
 
 
-def _num_partitions(df: DataFrame, n: int | None) -> int:
-    if n:
-        return n
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
 def _ranged(df: DataFrame, keys, order_cols, n: int | None) -> DataFrame:
+    """Range-partition on (keys, order) and tag each row with its partition id.
+
+    Without ``n`` the partition count is left to AQE, which coalesces
+    adjacent ranges to its advisory size (ranges stay contiguous), so each
+    range partition is executor-sized at any data volume.
+    """
     from ..session import materialize
 
     cols = [*keys, *order_cols]
-    r = (df.repartitionByRange(_num_partitions(df, n), *cols)
-         .withColumn(PID, F.spark_partition_id()))
-    return materialize(r, "ranged")
+    r = df.repartitionByRange(n, *cols) if n else df.repartitionByRange(*cols)
+    return materialize(r.withColumn(PID, F.spark_partition_id()), "ranged")
 
 
 def _on(left: DataFrame, right: DataFrame, cols) -> Column:

@@ -44,11 +44,14 @@ def formatted(prepared: DataFrame, spec: IndicatorSpec, lookup: DataFrame, base_
     else:
         rolled = G.geo_rollup(data, lookup, base_col, level_cols, keys=keys,
                               keep_base=keep_base or spec.geography == "council")
-    hscp_filter = spec.hscp or spec.geography == "datazone11"
+    # partnership (S37) codes: dropped from the data only for council-based runs; from the
+    # population also for 'all'-geography standardised runs
+    hscp_filter = spec.hscp or spec.geography != "council"
+    pop_hscp = spec.hscp or not (spec.geography == "council" or (std and spec.geography == "all"))
     if population is not None:
         pop = population.withColumn("year", F.col("year").cast("int"))
         out = POP.join_population_full(rolled, pop, ["year", "code", *strata], spec.yearstart,
-                                       spec.yearend, adp=spec.adp, hscp=hscp_filter)
+                                       spec.yearend, adp=spec.adp, hscp=hscp_filter, pop_hscp=pop_hscp)
     else:
         out = rolled.where(F.col("year").between(spec.yearstart, spec.yearend))
         out = out.withColumn("numerator", F.coalesce(F.col("numerator"), F.lit(0.0)))

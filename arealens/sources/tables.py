@@ -27,9 +27,10 @@ _SCANS: dict[tuple[int, str], DataFrame] = {}
 def _scan(spark: SparkSession, path: str) -> DataFrame:
     """The (lazy) parquet relation of a path, listed once per session."""
     key = (id(spark._jsparkSession), path)
-    if key not in _SCANS:
-        _SCANS[key] = spark.read.parquet(path)
-    return _SCANS[key]
+    cached = _SCANS.get(key)
+    if cached is None or cached.sparkSession is not spark:
+        cached = _SCANS[key] = spark.read.parquet(path)
+    return cached
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, columns=None,
