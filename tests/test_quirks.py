@@ -82,3 +82,20 @@ def test_geography_all_and_council_modes(spark):
     lk = spark.createDataFrame([("S12000001", "S08000001"), ("S12000002", "S08000001")], "ca string, hb string")
     out = {r["code"]: r["numerator"] for r in run_indicator(pre, spec_ca, lk, "ca", ["hb", "scotland"]).collect()}
     assert out == {"S12000001": 1.0, "S12000002": 3.0, "S08000001": 4.0, "S00000001": 4.0}
+
+
+def test_q12_sink_keyed_by_indicator(spark):
+    from arealens.session import scratch_path
+    from arealens.sources.sinks import write_indicator
+
+    cols = "code string, ind_id int, year int, numerator double, rate double, lowci double, upci double, " \
+           "def_period string, trend_axis string"
+    a = spark.createDataFrame([("S1", 1, 2000, 1.0, 1.0, 0.0, 2.0, "p", "t")], cols)
+    b = spark.createDataFrame([("S1", 2, 2000, 5.0, 5.0, 4.0, 6.0, "p", "t")], cols)
+    b2 = spark.createDataFrame([("S2", 2, 2001, 7.0, 7.0, 6.0, 8.0, "p", "t")], cols)
+    path = scratch_path(spark, "sink-test")
+    write_indicator(a, path)
+    write_indicator(b, path)
+    write_indicator(b2, path)   # rerun of indicator 2 replaces only indicator 2
+    got = sorted((r["ind_id"], r["code"]) for r in spark.read.parquet(path).collect())
+    assert got == [(1, "S1"), (2, "S2")]
