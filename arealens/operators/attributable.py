@@ -34,10 +34,11 @@ def join_prevalence(counts: DataFrame, area_prev: DataFrame, age_prev: DataFrame
     (column ``age_grp2``).
     """
     akeys = [c for c in ("code", "year", "sex_grp") if c in area_prev.columns]
-    out = counts.join(F.broadcast(area_prev), akeys, "left")
+    # prevalence tables are area / band dimensions: no hint, AQE broadcasts them after measuring
+    out = counts.join(area_prev, akeys, "left")
     out = out.withColumn("age_grp2", band_of_age if band_of_age is not None else F.col("age_grp"))
     gkeys = [c for c in ("age_grp2", "year", "sex_grp") if c in age_prev.columns]
-    return out.join(F.broadcast(age_prev), gkeys, "left")
+    return out.join(age_prev, gkeys, "left")
 
 
 def attributable_fraction(df: DataFrame, keys=("code", "year", "sex_grp", "age_grp")) -> DataFrame:
