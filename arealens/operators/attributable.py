@@ -8,22 +8,31 @@ from pyspark.sql import functions as F
 from ..functions import stats as S
 
 
-def relative_risk(events: DataFrame, rr: DataFrame, diag: str = "diag", sex: str = "sex_grp",
-                  age: str = "age_grp") -> DataFrame:
-    """Attach (current, ex) relative risks by sex, diagnosis range and age-band range.
-
-    ``rr``: (sex_grp, diag_lo, diag_hi, age_lo, age_hi, current, ex) with
-    non-overlapping rules.  The rule table is a literal of a few dozen rows, so
-    it is broadcast; sex is the equi-key and the ranges are the join
-    condition (a broadcast hash join, not a nested loop).  Events without a
-    rule, or with a current risk <= 0, are dropped (risk 0 in the reference).
+def _rule_join(events: DataFrame, rules: DataFrame, name: str, diag: str, sex: str, age: str) -> DataFrame:
+    r = F.broadcast(rules.select(F.col("sex_grp").alias("_rs"), F.col("diag_lo").alias("_lo"),
+                                 F.col("diag_hi").alias("_hi"), F.col("age_lo").alias("_alo"),
+                                 F.col("age_hi").alias("_ahi"), F.col("rr").alias(name)))
+    a = F.col(age)
+    cond = ((F.col(sex) == F.col("_rs")) & F.col(diag).between(F.col("_lo"), F.col("_hi"))
+            & F.coalesce(a >= F.col("_alo"), F.col("_alo").isNull())
+            & F.coalesce(a <= F.col("_ahi"), F.col("_ahi").isNull()))
+    out = events.join(r, cond, "left").drop("_rs", "_lo", "_hi", "_alo", "_ahi")
+    return out.withColumn(name, F.coalesce(F.col(name), F.lit(0.0)))
+
+
+def smoking_relative_risk(events: DataFrame, current_rules: DataFrame, ex_rules: DataFrame,
+                          diag: str = "diag", sex: str = "sex_grp", age: str = "age_grp") -> DataFrame:
+    """Relative risks of current and ex-smokers from two rule tables.
+
+    Rules: (sex_grp, diag_lo, diag_hi, age_lo, age_hi, rr), non-overlapping
+    within a table; a null age bound is open.  Each table is a literal of a
+    few dozen rows, broadcast and joined on sex with the ranges as the join
+    condition.  No matching rule means risk 0; events whose current risk is
+    not positive are dropped, as in the reference.
     """
-    r = F.broadcast(rr.select(F.col("sex_grp").alias("_rs"), "diag_lo", "diag_hi", "age_lo", "age_hi",
-                              "current", "ex"))
-    cond = ((F.col(sex) == F.col("_rs")) & F.col(diag).between(F.col("diag_lo"), F.col("diag_hi"))
-            & F.col(age).between(F.col("age_lo"), F.col("age_hi")))
-    return (events.join(r, cond, "inner").where(F.col("current") > 0)
-            .drop("_rs", "diag_lo", "diag_hi", "age_lo", "age_hi"))
+    out = _rule_join(events, current_rules, "current", diag, sex, age)
+    out = _rule_join(out, ex_rules, "ex", diag, sex, age)
+    return out.where(F.col("current") > 0)
 
 
 def join_prevalence(counts: DataFrame, area_prev: DataFrame, age_prev: DataFrame,

@@ -13,7 +13,7 @@ from ..operators import periods as P
 from ..operators import rates as R
 from ..operators import reshape as RS
 from ..sources import fixtures as FX
-from ..sources.refdata import values_sql
+from ..sources.refdata import RR_RULE_SCHEMA, smoking_rr_rules, values_sql
 from ..sources.tables import read_table
 from . import oracle_sql as O
 from .indicator import INDICATOR_COLUMNS, run_indicator
@@ -21,17 +21,7 @@ from .q_indicator import CRUDE, LEVELS, PCT1, crude_indicator_sql, percent_indic
 from .q_qa import NEW
 from .registry import present, register
 
-# Test relative-risk rules for the synthetic diagnosis stems (not published
-# values): (sex, diag_lo, diag_hi, age band lo, age band hi, current, ex).
-RR_RULES = [
-    (1, "C33", "C34", 1, 19, 23.26, 8.7), (2, "C33", "C34", 1, 19, 12.69, 4.5),
-    (1, "I20", "I25", 1, 11, 4.2, 2.0), (1, "I20", "I25", 12, 19, 1.8, 1.2),
-    (2, "I20", "I25", 1, 11, 5.3, 2.6), (2, "I20", "I25", 12, 19, 2.1, 1.1),
-    (1, "J40", "J44", 1, 19, 10.6, 6.8), (2, "J40", "J44", 1, 19, 13.1, 6.8),
-    (1, "K25", "K27", 8, 19, 5.4, 1.8), (2, "K25", "K27", 8, 19, 5.4, 1.8),
-    (2, "F10", "F10", 1, 19, 0.0, 0.0),
-]
-RR_SCHEMA = "sex_grp int, diag_lo string, diag_hi string, age_lo int, age_hi int, current double, ex double"
+CURRENT_RR, EX_RR = smoking_rr_rules("admissions")
 # Test prevalence by coarse age band and sex: (age_grp2, sex, current_age, ex_age).
 AGE_PREV = [(1, 1, 24.0, 10.0), (1, 2, 21.0, 9.0), (2, 1, 22.0, 18.0), (2, 2, 20.0, 16.0),
             (3, 1, 18.0, 25.0), (3, 2, 16.0, 22.0), (4, 1, 12.0, 32.0), (4, 2, 11.0, 27.0)]
@@ -48,9 +38,12 @@ _EV_SQL = ("SELECT e.uri, substr(e.main_condition, 1, 3) AS diag, e.sex_grp, "
            "CAST(CASE WHEN e.age BETWEEN 0 AND 200 THEN least(floor(e.age / 5) + 1, 19) END AS INT) AS age_grp, "
            "CAST(year(e.admission_date) AS INT) AS year, p.ca AS code FROM fx_episode e "
            "JOIN fx_postcode p ON e.pc7 = p.pc7")
-_RR_JOIN = ("SELECT ev.*, rr.current, rr.ex FROM ev JOIN rr ON ev.sex_grp = rr.sex_grp "
-            "AND ev.diag BETWEEN rr.diag_lo AND rr.diag_hi AND ev.age_grp BETWEEN rr.age_lo AND rr.age_hi "
-            "WHERE rr.current > 0")
+_RULE_COND = ("ev.sex_grp = {t}.sex_grp AND ev.diag BETWEEN {t}.diag_lo AND {t}.diag_hi "
+              "AND coalesce(ev.age_grp >= {t}.age_lo, {t}.age_lo IS NULL) "
+              "AND coalesce(ev.age_grp <= {t}.age_hi, {t}.age_hi IS NULL)")
+_RR_JOIN = ("SELECT ev.*, coalesce(c.rr, 0) AS current, coalesce(x.rr, 0) AS ex FROM ev "
+            "LEFT JOIN rc c ON " + _RULE_COND.format(t="c") + " LEFT JOIN rx x ON " + _RULE_COND.format(t="x")
+            + " WHERE coalesce(c.rr, 0) > 0")
 _AREA_PREV = ("SELECT 'S12' || lpad(CAST(n_nationkey AS VARCHAR), 6, '0') AS code, s.sex_grp, "
               "CAST(15 + n_nationkey % 10 + s.sex_grp AS DOUBLE) AS current_area, "
               "CAST(20 + n_nationkey % 7 AS DOUBLE) AS ex_area, CAST(19 AS DOUBLE) AS scot_current, CAST(22 AS DOUBLE) AS scot_ex "
@@ -74,18 +67,21 @@ def _area_prev(spark, d):
                     F.lit(19.0).alias("scot_current"), F.lit(22.0).alias("scot_ex")))
 
 
-def _rr(spark):
-    return spark.createDataFrame(RR_RULES, RR_SCHEMA)
+def _risks(spark, d):
+    rc = spark.createDataFrame(CURRENT_RR, RR_RULE_SCHEMA)
+    rx = spark.createDataFrame(EX_RR, RR_RULE_SCHEMA)
+    return AT.smoking_relative_risk(_events(spark, d), rc, rx)
 
 
 def _counts(spark, d):
-    ev = AT.relative_risk(_events(spark, d), _rr(spark))
+    ev = _risks(spark, d)
     return ev.groupBy("code", "year", "sex_grp", "age_grp", "current", "ex").agg(
         F.count(F.lit(1)).cast("double").alias("n"))
 
 
 def _sql(*ctes, body):
-    base = [("rr", values_sql(RR_RULES, ["sex_grp", "diag_lo", "diag_hi", "age_lo", "age_hi", "current", "ex"])),
+    names = ["sex_grp", "diag_lo", "diag_hi", "age_lo", "age_hi", "rr"]
+    base = [("rc", values_sql(CURRENT_RR, names)), ("rx", values_sql(EX_RR, names)),
             ("ev", _EV_SQL), ("rj", _RR_JOIN),
             ("cnt", "SELECT code, year, sex_grp, age_grp, current, ex, CAST(count(*) AS DOUBLE) AS n FROM rj "
                     "GROUP BY 1, 2, 3, 4, 5, 6"),
@@ -99,8 +95,7 @@ def _sql(*ctes, body):
 
 @register("relative_risk", sql=_sql(body="SELECT uri, diag, sex_grp, age_grp, current, ex FROM rj"))
 def q_relative_risk(spark, d):
-    return AT.relative_risk(_events(spark, d), _rr(spark)).select("uri", "diag", "sex_grp", "age_grp",
-                                                                  "current", "ex")
+    return _risks(spark, d).select("uri", "diag", "sex_grp", "age_grp", "current", "ex")
 
 
 @register("join_prevalence", sql=_sql(body=(

@@ -100,3 +100,104 @@ def values_sql(rows, names) -> str:
         return repr(v)
     body = ", ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in rows)
     return f"SELECT * FROM (VALUES {body}) AS t({', '.join(names)})"
+
+
+# ---------------------------------------------------------------------------
+# Relative risks of smoking-related diagnoses, as rules
+# (sex or None for both, 3-character diagnosis from, to, age band from, to
+# (None = unrestricted), relative risk), first for current smokers, then for
+# ex-smokers.  Age bands are the integers of ``age_band`` (quirk Q1: integer,
+# not text, comparison).  Deaths use the same rules without the
+# admission-only diagnoses (SMOKING_ADMISSION_ONLY).
+# ---------------------------------------------------------------------------
+SMOKING_RR_CURRENT = [
+    (1, "C00", "C14", None, None, 10.89), (2, "C00", "C14", None, None, 5.08),
+    (1, "C15", "C15", None, None, 6.76), (2, "C15", "C15", None, None, 7.75),
+    (1, "C16", "C16", None, None, 1.96), (2, "C16", "C16", None, None, 1.36),
+    (1, "C25", "C25", None, None, 2.31), (2, "C25", "C25", None, None, 2.25),
+    (1, "C32", "C32", None, None, 14.60), (2, "C32", "C32", None, None, 13.02),
+    (1, "C33", "C34", None, None, 23.26), (2, "C33", "C34", None, None, 12.69),
+    (1, "C53", "C53", None, None, 1.0), (2, "C53", "C53", None, None, 1.59),
+    (1, "C64", "C66", None, None, 2.50), (1, "C68", "C68", None, None, 2.50),
+    (2, "C64", "C66", None, None, 1.40), (2, "C68", "C68", None, None, 1.40),
+    (1, "C67", "C67", None, None, 3.27), (2, "C67", "C67", None, None, 2.22),
+    (1, "C80", "C80", None, None, 4.40), (2, "C80", "C80", None, None, 2.20),
+    (1, "C92", "C92", None, None, 1.80), (2, "C92", "C92", None, None, 1.20),
+    (1, "I20", "I25", None, 11, 4.20), (1, "I20", "I25", 12, 13, 2.50),
+    (1, "I20", "I25", 14, 15, 1.80), (1, "I20", "I25", 16, None, 1.40),
+    (2, "I20", "I25", None, 11, 5.30), (2, "I20", "I25", 12, 13, 2.80),
+    (2, "I20", "I25", 14, 15, 2.10), (2, "I20", "I25", 16, None, 1.40),
+    (1, "I00", "I09", None, None, 1.78), (1, "I26", "I51", None, None, 1.78),
+    (2, "I00", "I09", None, None, 1.49), (2, "I26", "I51", None, None, 1.49),
+    (1, "I60", "I69", None, 11, 4.40), (1, "I60", "I69", 12, 13, 3.10),
+    (1, "I60", "I69", 14, 15, 2.20), (1, "I60", "I69", 16, None, 1.60),
+    (2, "I60", "I69", None, 11, 5.40), (2, "I60", "I69", 12, 13, 3.70),
+    (2, "I60", "I69", 14, 15, 2.60), (2, "I60", "I69", 16, None, 1.30),
+    (1, "I70", "I70", None, None, 2.44), (2, "I70", "I70", None, None, 1.83),
+    (1, "I71", "I71", None, None, 6.21), (2, "I71", "I71", None, None, 7.07),
+    (1, "I72", "I78", None, None, 2.07), (2, "I72", "I78", None, None, 2.17),
+    (1, "J10", "J18", None, 13, 2.50), (1, "J10", "J18", 14, None, 2.00),
+    (2, "J10", "J18", None, 13, 4.30), (2, "J10", "J18", 14, None, 2.20),
+    (1, "J40", "J43", None, None, 17.10), (2, "J40", "J43", None, None, 12.04),
+    (1, "J44", "J44", None, None, 10.58), (2, "J44", "J44", None, None, 13.08),
+    (1, "K25", "K27", None, None, 5.40), (2, "K25", "K27", None, None, 5.50),
+    (None, "K50", "K50", None, None, 2.10),
+    (None, "K05", "K05", None, None, 3.97),
+    (None, "H25", "H25", 10, None, 1.54),
+    (None, "S72", "S72", 12, 13, 1.17), (None, "S72", "S72", 14, 15, 1.41),
+    (1, "S72", "S72", 16, None, 1.76), (2, "S72", "S72", 16, None, 1.85),
+    (2, "O03", "O03", None, None, 1.28),
+]
+SMOKING_RR_EX = [
+    (1, "C00", "C14", None, None, 3.40), (2, "C00", "C14", None, None, 2.29),
+    (1, "C15", "C15", None, None, 4.46), (2, "C15", "C15", None, None, 2.79),
+    (1, "C16", "C16", None, None, 1.47), (2, "C16", "C16", None, None, 1.32),
+    (1, "C25", "C25", None, None, 1.15), (2, "C25", "C25", None, None, 1.55),
+    (1, "C32", "C32", None, None, 6.34), (2, "C32", "C32", None, None, 5.16),
+    (1, "C33", "C34", None, None, 8.70), (2, "C33", "C34", None, None, 4.53),
+    (1, "C53", "C53", None, None, 1.0), (2, "C53", "C53", None, None, 1.14),
+    (1, "C64", "C66", None, None, 1.70), (1, "C68", "C68", None, None, 1.70),
+    (2, "C64", "C66", None, None, 1.10), (2, "C68", "C68", None, None, 1.10),
+    (1, "C67", "C67", None, None, 2.09), (2, "C67", "C67", None, None, 1.89),
+    (1, "C80", "C80", None, None, 2.50), (2, "C80", "C80", None, None, 1.30),
+    (1, "C92", "C92", None, None, 1.40), (2, "C92", "C92", None, None, 1.30),
+    (1, "I20", "I25", None, 11, 2.00), (1, "I20", "I25", 12, 13, 1.60),
+    (1, "I20", "I25", 14, 15, 1.30), (1, "I20", "I25", 16, None, 1.10),
+    (2, "I20", "I25", None, 11, 2.60), (2, "I20", "I25", 12, 13, 1.10),
+    (2, "I20", "I25", 14, 15, 1.20), (2, "I20", "I25", 16, None, 1.20),
+    (1, "I00", "I09", None, None, 1.22), (1, "I26", "I51", None, None, 1.22),
+    (2, "I00", "I09", None, None, 1.14), (2, "I26", "I51", None, None, 1.14),
+    (1, "I60", "I69", None, None, 1.10),
+    (2, "I60", "I69", None, 15, 1.30), (2, "I60", "I69", 16, None, 1.0),
+    (1, "I70", "I70", None, None, 1.33), (2, "I70", "I70", None, None, 1.0),
+    (1, "I71", "I71", None, None, 3.07), (2, "I71", "I71", None, None, 2.07),
+    (1, "I72", "I78", None, None, 1.01), (2, "I72", "I78", None, None, 1.12),
+    (1, "J10", "J18", None, None, 1.40), (2, "J10", "J18", None, None, 1.10),
+    (1, "J40", "J43", None, None, 15.64), (2, "J40", "J43", None, None, 11.77),
+    (1, "J44", "J44", None, None, 6.80), (2, "J44", "J44", None, None, 6.78),
+    (1, "K25", "K27", None, None, 1.80), (2, "K25", "K27", None, None, 1.40),
+    (None, "K50", "K50", None, None, 1.0),
+    (None, "K05", "K05", None, None, 1.68),
+    (None, "H25", "H25", 10, None, 1.11),
+    (None, "S72", "S72", 12, 13, 1.02), (None, "S72", "S72", 14, 15, 1.08),
+    (1, "S72", "S72", 16, None, 1.14), (2, "S72", "S72", 16, None, 1.22),
+    (2, "O03", "O03", None, None, 1.0),
+]
+SMOKING_ADMISSION_ONLY = ("K50", "K05", "H25", "S72", "O03")
+
+
+def smoking_rr_rules(kind: str = "admissions", sexes=(1, 2)) -> tuple[list, list]:
+    """(current, ex) rule rows with sex-agnostic rules expanded to every sex, so
+    sex is an equi-join key and the diagnosis / age ranges are the join condition."""
+    def expand(rules):
+        out = []
+        for sex, lo, hi, alo, ahi, rr in rules:
+            if kind == "deaths" and lo in SMOKING_ADMISSION_ONLY:
+                continue
+            for s in ([sex] if sex is not None else list(sexes)):
+                out.append((s, lo, hi, alo, ahi, float(rr)))
+        return out
+    return expand(SMOKING_RR_CURRENT), expand(SMOKING_RR_EX)
+
+
+RR_RULE_SCHEMA = "sex_grp int, diag_lo string, diag_hi string, age_lo int, age_hi int, rr double"
