@@ -201,3 +201,10 @@ def smoking_rr_rules(kind: str = "admissions", sexes=(1, 2)) -> tuple[list, list
 
 
 RR_RULE_SCHEMA = "sex_grp int, diag_lo string, diag_hi string, age_lo int, age_hi int, rr double"
+
+
+# The deprivation (SIMD) release used for each range of years.
+SIMD_RELEASES = [
+    ("simd2004", 2002, 2003), ("simd2006", 2004, 2006), ("simd2009v2", 2007, 2009),
+    ("simd2012", 2010, 2013), ("simd2016", 2014, 2016), ("simd2020v2", 2017, 2019),
+]

@@ -149,3 +149,13 @@ def test_epop_totals_invariant():
     assert epop_total("11to25") == 34200
     assert epop_total("15to25") == 25400
     assert 2 * sum(w for b, w in EPOP_WEIGHTS["normal"].items() if b <= 15) == 182000
+
+
+def test_simd_release_years_are_contiguous(spark):
+    from arealens.operators.deprivation import simd_versions
+    from arealens.sources.refdata import SIMD_RELEASES
+
+    rows = simd_versions(spark, SIMD_RELEASES).collect()
+    years = sorted(r["year"] for r in rows)
+    assert years == list(range(2002, 2020))
+    assert {r["version"] for r in rows if r["year"] == 2014} == {"simd2016"}
