@@ -6,8 +6,6 @@ extract without pending orders, so the comparisons have real differences.
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from ..operators import periods as P
 from ..operators import qa as Q
 from ..sources import fixtures as FX
@@ -15,7 +13,7 @@ from ..sources.refdata import EXPECTED_AREAS, values_sql
 from . import oracle_sql as O
 from .indicator import run_indicator
 from .registry import present, register
-from .q_indicator import FLAGSHIP, PCT1, LEVELS
+from .q_indicator import LEVELS, PCT1
 
 CHECK_CODES = ["S00000001", "S08000001", "S12000010"]
 RECONCILE = ["S08000002", "S12000002", "S12000012"]

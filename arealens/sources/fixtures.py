@@ -12,7 +12,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.age import age_band  # noqa: F401  (documented equivalence)
 from .refdata import SCOTLAND
 from .tables import read_table
 
