@@ -66,3 +66,17 @@ def test_hot_key_spans_several_range_partitions(spark):
     per = {row["pid"]: row["n"] for row in
            r.where("k = 'hot'").groupBy(F.col(sequence.PID).alias("pid")).agg(F.count("*").alias("n")).collect()}
     assert len(per) >= 4 and max(per.values()) < 3000
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(1, 2), st.integers(1, 19), st.integers(1, 300), st.integers(0, 3000)),
+                min_size=1, max_size=30, unique_by=lambda t: (t[0], t[1])))
+def test_easr_inside_interval(spark, strata):
+    from arealens.sources.refdata import EPOP_WEIGHTS
+
+    data = [(2000, "A", s, a, float(n), float(n + extra), float(EPOP_WEIGHTS["normal"][a]))
+            for s, a, n, extra in strata]
+    df = spark.createDataFrame(data, "year int, code string, sex_grp int, age_grp int, numerator double, "
+                                     "denominator double, epop double")
+    (r,) = R.rate_easr(df, 200000).collect()
+    assert r["lowci"] <= r["rate"] + 1e-9 <= r["upci"] + 2e-9

@@ -99,3 +99,14 @@ def test_q12_sink_keyed_by_indicator(spark):
     write_indicator(b2, path)   # rerun of indicator 2 replaces only indicator 2
     got = sorted((r["ind_id"], r["code"]) for r in spark.read.parquet(path).collect())
     assert got == [(1, "S1"), (2, "S2")]
+
+
+def test_q22_stay_year_choices(spark):
+    df = spark.createDataFrame([(1, "s", "2019-03-30", "2019-04-02", 1, 40, 1, 0)],
+                               "link_no int, cis_marker string, admission_date string, discharge_date string, "
+                               "uri int, age int, sex_grp int, pc7 int")
+    df = df.withColumn("admission_date", F.to_date("admission_date")).withColumn("discharge_date",
+                                                                                 F.to_date("discharge_date"))
+    years = {k: E.stay_collapse(df, stay_year=k).collect()[0]["year"]
+             for k in ("fin_last_discharge", "cal_last_discharge", "fin_first_admission")}
+    assert years == {"fin_last_discharge": 2019, "cal_last_discharge": 2019, "fin_first_admission": 2018}
