@@ -22,7 +22,7 @@ def formatted(prepared: DataFrame, spec: IndicatorSpec, lookup: DataFrame,
     """Quintile roll-up with totals, population join, rolling periods, weights."""
     std = spec.measure == "stdrate"
     strata = ["sex_grp", "age_grp"] if std else []
-    data = read_prepared(prepared)
+    data = read_prepared(prepared, spec.yearstart, spec.yearend)
     joined = data.join(lookup, ["datazone", "year"], "left")
     q = I.quintile_rollup(joined, keys=["year", *strata])
     if population is not None:

@@ -35,7 +35,8 @@ def formatted(prepared: DataFrame, spec: IndicatorSpec, lookup: DataFrame, base_
     std = spec.measure == "stdrate"
     strata = ["sex_grp", "age_grp"] if std else []
     keys = ["year", *strata, *extra_keys]
-    data = read_prepared(prepared, spec.yearstart)
+    # rows after yearend are dropped before rolling, so both bounds go to the scan
+    data = read_prepared(prepared, spec.yearstart, spec.yearend)
     if spec.geography == "all":
         # the prepared fact already carries every area code: sum duplicates only
         measures = [m for m in ("numerator", "denominator") if m in data.columns]
