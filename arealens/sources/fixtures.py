@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .refdata import SCOTLAND
 from .tables import read_table
 
@@ -185,10 +186,12 @@ def fx_simd(spark: SparkSession, d: str) -> DataFrame:
                      {"rank": F.lit(1), "cum": F.col("pop")}, frame="rows", totals=True)
     r = r.withColumn("q", quintile_cut(F.col("cum"), F.col("cum_total")))
     pick = lambda sch, c: F.max(F.when(F.col("scheme") == sch, F.col(c)))
-    return (r.groupBy("datazone", "pop", "ca", "hb")
-            .agg(pick("sc", "rank").cast("long").alias("simd_rank"), pick("sc", "q").alias("sc_quin"),
-                 pick("hb", "q").alias("hb_quin"), pick("ca", "q").alias("ca_quin"))
-            .select("datazone", "pop", "simd_rank", "ca", "hb", "sc_quin", "hb_quin", "ca_quin"))
+    out = (r.groupBy("datazone", "pop", "ca", "hb")
+           .agg(pick("sc", "rank").cast("long").alias("simd_rank"), pick("sc", "q").alias("sc_quin"),
+                pick("hb", "q").alias("hb_quin"), pick("ca", "q").alias("ca_quin"))
+           .select("datazone", "pop", "simd_rank", "ca", "hb", "sc_quin", "hb_quin", "ca_quin"))
+    # a lookup table (one row per datazone) that several branches read: written once
+    return materialize(out, "simd")
 
 
 def fx_depr_lookup(spark: SparkSession, d: str, simd: DataFrame | None = None) -> DataFrame:
