@@ -58,12 +58,18 @@ def refresh_batch(spark: SparkSession, batch: DataFrame, prepared_path: str, sch
 
 
 def start_refresh(spark: SparkSession, prepared_path: str, schema: str, spec: IndicatorSpec,
-                  lookup: DataFrame, base_col: str, level_cols, sink: str, checkpoint: str,
-                  population: DataFrame | None = None, available_now: bool = True) -> StreamingQuery:
-    """Start the refresh stream over ``prepared_path`` (parquet, fixed ``schema``)."""
-
-    def build(prepared: DataFrame) -> DataFrame:
-        return run_indicator(prepared, spec, lookup, base_col, level_cols, population=population)
+                  lookup: DataFrame | None, base_col: str | None, level_cols, sink: str, checkpoint: str,
+                  population: DataFrame | None = None, available_now: bool = True,
+                  build: Callable[[DataFrame], DataFrame] | None = None) -> StreamingQuery:
+    """Start the refresh stream over ``prepared_path`` (parquet, fixed ``schema``).
+
+    ``build(prepared) -> result`` defaults to the indicator run of ``spec``;
+    pass another plan (e.g. an inequality run) to refresh its sink the same
+    way - the result needs ``ind_id`` and ``year`` columns.
+    """
+    if build is None:
+        def build(prepared: DataFrame) -> DataFrame:
+            return run_indicator(prepared, spec, lookup, base_col, level_cols, population=population)
 
     stream = spark.readStream.schema(schema).parquet(prepared_path)
     writer = (stream.writeStream
