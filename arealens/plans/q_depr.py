@@ -248,3 +248,70 @@ def q_deprived_youth(spark, d):
                                              F.coalesce("numerator", F.lit(0.0)).alias("numerator"),
                                              "denominator")
     return present(out)
+
+
+# ---- age-sex standardised inequality run (EASR per quintile) -----------------------------------------
+DEPR_EASR = IndicatorSpec(ind_id=99104, measure="stdrate", time_agg=3, yearstart=1995, yearend=2001,
+                          year_type="calendar", epop_age="normal", epop_total=200000)
+_STRATA = ["year", "sex_grp", "age_grp"]
+
+
+def _easr_depr_ctes(spec: IndicatorSpec):
+    from .q_indicator import _epop_values
+
+    T = float(spec.standard_total)
+    lo, up = O.byar_lower("numerator"), O.byar_upper("numerator")
+    spread = f"sqrt(var_dsr / {T * T} / nullif(numerator, 0))"
+    keys = "code, quintile, quint_type, sex_grp, age_grp"
+    return [
+        ("j", _J),
+        ("q", O.quintile_rollup_sql("j", _STRATA, ["numerator"])),
+        ("ps", "SELECT l.year, l.ca, l.hb, l.sc_quin, l.hb_quin, l.ca_quin, s.sex_grp, g.age_grp, "
+               "CAST(l.pop AS DOUBLE) AS denominator FROM fx_depr_lookup l, (SELECT DISTINCT sex_grp FROM "
+               "fx_prepared) s, (SELECT DISTINCT age_grp FROM fx_prepared) g"),
+        ("dp", O.quintile_rollup_sql("ps", _STRATA, ["denominator"])),
+        ("rj", "SELECT dp.code, dp.quintile, dp.quint_type, dp.sex_grp, dp.age_grp, dp.year, "
+               "coalesce(q.numerator, 0) AS numerator, dp.denominator FROM q RIGHT JOIN dp ON q.year = dp.year "
+               "AND q.code = dp.code AND q.quintile = dp.quintile AND q.quint_type = dp.quint_type "
+               "AND q.sex_grp = dp.sex_grp AND q.age_grp = dp.age_grp "
+               f"WHERE dp.year BETWEEN {spec.yearstart} AND {spec.yearend}"),
+        ("m", O.rolling_sql("rj", keys.split(", "), spec.time_agg, shift=spec.time_fix)),
+        ("ep", _epop_values(spec.epop_age)),
+        ("e", "SELECT m.*, ep.epop FROM m LEFT JOIN ep ON m.age_grp = ep.age_grp"),
+        ("s", "SELECT year, code, quintile, quint_type, coalesce(sum(numerator), 0) AS numerator, "
+              "coalesce(sum(denominator), 0) AS denominator, "
+              f"sum({O.nz('numerator * epop / nullif(denominator, 0)')}) AS easr_first, "
+              f"sum({O.nz('numerator * epop * epop / nullif(denominator * denominator, 0)')}) AS var_dsr "
+              "FROM e GROUP BY year, code, quintile, quint_type"),
+        ("rt", f"SELECT code, year, quintile, quint_type, numerator, denominator, easr_first / {T} * 100000 AS rate, "
+               f"(easr_first / {T} + {spread} * ({lo} - numerator)) * 100000 AS lowci, "
+               f"(easr_first / {T} + {spread} * ({up} - numerator)) * 100000 AS upci FROM s"),
+        *_measures_ctes("rt"),
+    ]
+
+
+def _final_depr_sql(ctes, spec: IndicatorSpec) -> str:
+    mcols = ", ".join(O.r6(f"meas.{c}", c) for c in I.MEASURE_COLS)
+    labels = O.labels_sql(spec.year_type, spec.time_agg, y="rt.year")
+    low = f"CASE WHEN {O.nz('rt.lowci')} < 0 THEN 0 ELSE {O.nz('rt.lowci')} END"
+    return O.with_fx(
+        *ctes,
+        body=(f"SELECT rt.code, rt.year, rt.quintile, rt.quint_type, {O.r6('rt.numerator', 'numerator')}, "
+              f"{O.r6('rt.denominator', 'denominator')}, {O.r6(O.nz('rt.rate'), 'rate')}, {O.r6(low, 'lowci')}, "
+              f"{O.r6(O.nz('rt.upci'), 'upci')}, {mcols}, CAST({spec.ind_id} AS INT) AS ind_id, {labels} "
+              "FROM rt LEFT JOIN meas ON rt.code = meas.code AND rt.year = meas.year "
+              "AND rt.quint_type = meas.quint_type"))
+
+
+@register("deprivation_easr", sql=_final_depr_sql(_easr_depr_ctes(DEPR_EASR), DEPR_EASR))
+def q_deprivation_easr(spark, d):
+    """Inequality run on age-sex standardised rates: strata carried through the quintile
+    roll-up, the right join to the stratified population, rolling, and EASR per quintile."""
+    prep, lk = _lookup_and_prepared(spark, d)
+    dom = FX._domains(spark, d)
+    pop = (lk.select("year", "ca", "hb", "sc_quin", "hb_quin", "ca_quin", F.col("pop").cast("double")
+                     .alias("denominator"), dom.alias("_dom"))
+           .select("*", F.explode("_dom.sex_grp").alias("sex_grp"))
+           .select("*", F.explode("_dom.age_grp").alias("age_grp")).drop("_dom"))
+    dpop = I.quintile_rollup(pop, keys=_STRATA, measures=["denominator"])
+    return present(DP.run_deprivation(prep, DEPR_EASR, lk, population=dpop))
