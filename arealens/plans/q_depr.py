@@ -308,10 +308,13 @@ def q_deprivation_easr(spark, d):
     """Inequality run on age-sex standardised rates: strata carried through the quintile
     roll-up, the right join to the stratified population, rolling, and EASR per quintile."""
     prep, lk = _lookup_and_prepared(spark, d)
+    # every (sex, age band) stratum has the same population here, so roll up first and
+    # replicate the strata on the few aggregated rows (not on every datazone)
+    pop = lk.select("year", "ca", "hb", "sc_quin", "hb_quin", "ca_quin",
+                    F.col("pop").cast("double").alias("denominator"))
     dom = FX._domains(spark, d)
-    pop = (lk.select("year", "ca", "hb", "sc_quin", "hb_quin", "ca_quin", F.col("pop").cast("double")
-                     .alias("denominator"), dom.alias("_dom"))
-           .select("*", F.explode("_dom.sex_grp").alias("sex_grp"))
-           .select("*", F.explode("_dom.age_grp").alias("age_grp")).drop("_dom"))
-    dpop = I.quintile_rollup(pop, keys=_STRATA, measures=["denominator"])
+    dpop = (I.quintile_rollup(pop, keys=["year"], measures=["denominator"])
+            .select("*", dom.alias("_dom"))
+            .select("*", F.explode("_dom.sex_grp").alias("sex_grp"))
+            .select("*", F.explode("_dom.age_grp").alias("age_grp")).drop("_dom"))
     return present(DP.run_deprivation(prep, DEPR_EASR, lk, population=dpop))
