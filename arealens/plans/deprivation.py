@@ -21,6 +21,8 @@ def formatted(prepared: DataFrame, spec: IndicatorSpec, lookup: DataFrame,
               population: DataFrame | None = None) -> DataFrame:
     """Quintile roll-up with totals, population join, rolling periods, weights."""
     std = spec.measure == "stdrate"
+    if std and population is None:
+        raise ValueError(f"ind {spec.ind_id}: a standardised rate needs a population by quintile, sex and age")
     strata = ["sex_grp", "age_grp"] if std else []
     data = read_prepared(prepared, spec.yearstart, spec.yearend)
     joined = data.join(lookup, ["datazone", "year"], "left")

@@ -33,6 +33,8 @@ def formatted(prepared: DataFrame, spec: IndicatorSpec, lookup: DataFrame, base_
     category key) so several indicators run in one job.
     """
     std = spec.measure == "stdrate"
+    if std and population is None:
+        raise ValueError(f"ind {spec.ind_id}: a standardised rate needs a population by sex and age band")
     strata = ["sex_grp", "age_grp"] if std else []
     keys = ["year", *strata, *extra_keys]
     # rows after yearend are dropped before rolling, so both bounds go to the scan

@@ -110,3 +110,14 @@ def test_q22_stay_year_choices(spark):
     years = {k: E.stay_collapse(df, stay_year=k).collect()[0]["year"]
              for k in ("fin_last_discharge", "cal_last_discharge", "fin_first_admission")}
     assert years == {"fin_last_discharge": 2019, "cal_last_discharge": 2019, "fin_first_admission": 2018}
+
+
+def test_stdrate_without_population_is_rejected(spark):
+    from arealens.plans.indicator import run_indicator
+
+    spec = IndicatorSpec(ind_id=3, measure="stdrate", time_agg=1, yearstart=2000, yearend=2000,
+                         year_type="calendar", epop_age="normal")
+    df = spark.createDataFrame([("S12000001", 2000, 1, 1, 1.0)],
+                               "code string, year int, sex_grp int, age_grp int, numerator double")
+    with pytest.raises(ValueError):
+        run_indicator(df, spec, None, None, [])
