@@ -3,17 +3,18 @@
 New prepared-fact files land in a folder.  A file-source stream picks them up
 and each micro-batch:
 
-1. finds the years it touches (two scalars: the min and max year),
-2. recomputes the indicator from the whole prepared table, restricted to the
-   input years that can reach those periods (touched years widened by the
-   rolling window on both sides),
-3. keeps the output periods whose window contains a touched year, and
+1. finds the first year it touches (one scalar),
+2. recomputes the result from the whole prepared table - rolling windows
+   count rows, not years, so across a gap in a series a window can reach any
+   distance back and no narrower input is exact,
+3. keeps the periods from the first one whose window can contain a touched
+   year (centre year >= first touched year - shift), and
 4. overwrites only those ``(ind_id, year)`` partitions of the sink (dynamic
-   partition overwrite).
+   partition overwrite); older published periods are left untouched.
 
 The stream's checkpoint makes each file count once, and a failed batch is
 simply re-run, since the batch recomputes and overwrites whole partitions.
-With contiguous years the result equals a full rerun.
+The result equals a full rerun (tested with gaps in the series).
 """
 
 from __future__ import annotations
@@ -28,31 +29,24 @@ from ..plans.indicator import run_indicator
 from ..plans.spec import IndicatorSpec
 
 
-def affected_input_years(tmin: int, tmax: int, time_agg: int) -> tuple[int, int]:
-    """Input years needed to recompute every window that contains a touched year."""
-    return tmin - (time_agg - 1), tmax + (time_agg - 1)
-
-
-def affected_output_years(tmin: int, tmax: int, spec: IndicatorSpec) -> tuple[int, int]:
-    """Centre years of the windows (ending in tmin .. tmax + agg - 1) that contain a touched year."""
-    return tmin - spec.time_fix, tmax + spec.time_agg - 1 - spec.time_fix
+def first_affected_year(tmin: int, spec: IndicatorSpec) -> int:
+    """Earliest centre year whose window can contain the touched year ``tmin``."""
+    return tmin - spec.time_fix
 
 
 def refresh_batch(spark: SparkSession, batch: DataFrame, prepared_path: str, schema: str,
                   spec: IndicatorSpec, build: Callable[[DataFrame], DataFrame], sink: str) -> None:
-    """Recompute and overwrite the periods touched by one batch of prepared rows.
+    """Recompute and overwrite the periods a batch of prepared rows can change.
 
-    ``build(prepared) -> indicator`` runs the indicator plan on a prepared frame.
+    ``build(prepared) -> result`` runs the plan on a prepared frame; the
+    result needs ``ind_id`` and ``year`` columns.
     """
-    bounds = batch.agg(F.min("year").alias("lo"), F.max("year").alias("hi")).first()
-    if bounds is None or bounds["lo"] is None:
+    first = batch.agg(F.min("year").alias("lo")).first()
+    if first is None or first["lo"] is None:
         return
-    lo, hi = int(bounds["lo"]), int(bounds["hi"])
-    in_lo, in_hi = affected_input_years(lo, hi, spec.time_agg)
-    out_lo, out_hi = affected_output_years(lo, hi, spec)
+    start = first_affected_year(int(first["lo"]), spec)
     full = spark.read.schema(schema).parquet(prepared_path)
-    full = full.where(F.col("year").between(max(in_lo, spec.yearstart), min(in_hi, spec.yearend)))
-    result = build(full).where(F.col("year").between(out_lo, out_hi))
+    result = build(full).where(F.col("year") >= start)
     (result.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("ind_id", "year").parquet(sink))
 

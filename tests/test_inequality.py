@@ -78,3 +78,21 @@ def test_quintile_totals_include_unknown_quintile(spark):
     assert out[("S00000001", "sc_quin", "Total")] == 8.0
     assert out[("S00000001", "sc_quin", "1")] == 5.0
     assert not any(k[2] is None for k in out)
+
+
+def test_deprivation_perc_pcf_uses_quintile_reference_population(spark):
+    from arealens.plans.deprivation import quintile_rates
+    from arealens.plans.spec import IndicatorSpec
+
+    spec = IndicatorSpec(ind_id=5, measure="perc_pcf", time_agg=1, yearstart=2000, yearend=2000,
+                         year_type="school")
+    df = spark.createDataFrame([("A", "1", "sc_quin", 2000, 10.0, 40.0), ("A", "2", "sc_quin", 2000, 5.0, 50.0)],
+                               "code string, quintile string, quint_type string, year int, numerator double, "
+                               "denominator double")
+    pop = spark.createDataFrame([("A", "1", "sc_quin", 2000, 100.0), ("A", "2", "sc_quin", 2000, 20.0)],
+                                "code string, quintile string, quint_type string, year int, denominator double")
+    out = {r["quintile"]: r for r in quintile_rates(df, spec, pop).collect()}
+    rate = 25.0
+    ci = 1.96 * ((rate * (100 - rate) / 40.0) * ((100 - 40) / (100 - 1)) ** 0.5) ** 0.5
+    assert out["1"]["lowci"] == pytest.approx(rate - ci)
+    assert out["2"]["lowci"] == out["2"]["upci"] == pytest.approx(10.0)   # population < denominator
