@@ -84,9 +84,9 @@ def _domains(spark: SparkSession, d: str) -> F.Column:
 def fx_population(spark: SparkSession, d: str, per_band: int = 40) -> DataFrame:
     """Population per (year, code, sex, age band): ``per_band`` residents per datazone.
 
-    The year / sex / age domains come from the prepared fact (one scalar
-    subquery) and are exploded per area row, so no join is needed to form
-    the grid.
+    The year / sex / age domains come from the prepared fact (one aggregate
+    job, a few dozen values kept as plan constants) and are exploded per area
+    row, so no join is needed to form the grid.
     """
     return (area_counts(spark, d).select("code", "n", _domains(spark, d).alias("_dom"))
             .select("code", "n", "_dom", F.explode("_dom.year").alias("year"))
