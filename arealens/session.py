@@ -73,4 +73,16 @@ def materialize(df, name: str):
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    copy = spark.read.schema(df.schema).parquet(path)
+    copy._scratch_path = path
+    return copy
+
+
+def discard(copy) -> None:
+    """Remove the files of a ``materialize`` copy whose last reader is done."""
+    path = getattr(copy, "_scratch_path", None)
+    if path:
+        jvm = copy.sparkSession._jvm
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(copy.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
+        copy._scratch_path = None
