@@ -30,8 +30,9 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .base import SLICE_ROWS, tokenizer_path
+from .base import slices, tokenizer_path
 
 # Fixed value: the split of the public byte-level vocabulary (its README gives it).
 # White space is spelled out: libraries differ on U+001C to U+001F.
@@ -257,20 +258,23 @@ def _share(df: DataFrame, path: str | None):
 
 
 def encode(df: DataFrame, *, text_col: str = "text", ids_col: str = "ids", path: str | None = None) -> DataFrame:
-    """``df`` with the array of token ids of ``text_col``."""
+    """``df`` with the array of token ids in place of ``text_col``.
+
+    One pass over Arrow batches: as an expression, ids that are used twice would be computed twice.
+    """
     shared = _share(df, path)
+    others = [c for c in df.columns if c != text_col]
 
-    @F.arrow_udf("array<int>")
-    def ids(texts: pa.Array) -> pa.Array:
+    def run(batches):
         encoder = loaded(shared)[1]
-        out = []
-        for i in range(0, len(texts), SLICE_ROWS):
-            got = [encoder.encode(t) for t in texts.slice(i, SLICE_ROWS).to_pylist()]
+        for part in slices(batches):
+            got = [encoder.encode(t) for t in part.column(len(others)).to_pylist()]
             offsets = np.concatenate([[0], np.cumsum([len(g) // 4 for g in got])]).astype(np.int32)
-            out.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(got), np.int32))))
-        return pa.concat_arrays(out) if out else pa.array([], pa.list_(pa.int32()))
+            ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(got), np.int32)))
+            yield pa.RecordBatch.from_arrays([*part.columns[:-1], ids], names=[*others, ids_col])
 
-    return df.withColumn(ids_col, ids(F.col(text_col)))
+    schema = T.StructType([*[df.schema[c] for c in others], T.StructField(ids_col, T.ArrayType(T.IntegerType()))])
+    return df.select(*others, text_col).mapInArrow(run, schema)
 
 
 def decode(df: DataFrame, *, ids_col: str = "ids", text_col: str = "decoded", path: str | None = None) -> DataFrame:

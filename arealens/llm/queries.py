@@ -98,7 +98,7 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = bpe.encode(read_table(spark, sf_dir, "documents", ["doc_id", "text"])).drop("text")
+    encoded = bpe.encode(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
     return bpe.decode(encoded).select(
         "doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
