@@ -15,11 +15,7 @@ range bounds come from sampling, so a recomputation could place rows
 differently; reading one materialised copy keeps both branches consistent,
 survives executor loss and cuts the lineage.
 
-That path costs a write, so it is taken only when needed: one aggregate job
-measures the largest key (or the whole input when there is no key), and
-inputs whose largest group fits ``max_rows_per_key`` (session setting
-``spark.arealens.sequence.maxRowsPerKey``, default 5,000,000 rows) use the
-plain window - a proven bound on the biggest task, with the range path beyond.
+The same path runs at every size.
 """
 
 from __future__ import annotations
@@ -30,22 +26,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 PID = "_seq_pid"
-MAX_ROWS_CONF = "spark.arealens.sequence.maxRowsPerKey"
-DEFAULT_MAX_ROWS = 5_000_000
-
-
-def _plain_window_fits(df: DataFrame, keys, strategy: str, num_partitions: int | None) -> bool:
-    """True when the largest window partition is known to stay under the row bound."""
-    if strategy == "window":
-        return True
-    if strategy == "range" or num_partitions:
-        return False
-    bound = int(df.sparkSession.conf.get(MAX_ROWS_CONF, str(DEFAULT_MAX_ROWS)))
-    if keys:
-        largest = df.groupBy(*keys).count().agg(F.max("count")).first()[0]
-    else:
-        largest = df.count()
-    return (largest or 0) <= bound
 
 
 def _ranged(df: DataFrame, keys, order_cols, n: int | None) -> DataFrame:
@@ -68,25 +48,15 @@ def _on(left: DataFrame, right: DataFrame, cols) -> Column:
 
 def running_sums(df: DataFrame, keys, order_cols, sums: dict[str, Column],
                  frame: str = "range", totals: bool = False,
-                 num_partitions: int | None = None, strategy: str = "auto") -> DataFrame:
+                 num_partitions: int | None = None) -> DataFrame:
     """Add cumulative sums per key in ``order_cols`` order.
 
     ``sums`` maps output column -> value expression.  ``frame='range'``
     includes all peers with the same order value (SQL default frame);
     ``'rows'`` counts strictly row by row (order must then be unique).  With
     ``totals`` the per-key total of each sum is added as ``<name>_total``.
-    ``strategy``: ``auto`` (size check), ``window`` or ``range`` (forced).
     """
     keys, order_cols = list(keys), list(order_cols)
-    if _plain_window_fits(df, keys, strategy, num_partitions):
-        w = Window.partitionBy(*keys).orderBy(*order_cols) if keys else Window.orderBy(*order_cols)
-        w = (w.rangeBetween(Window.unboundedPreceding, Window.currentRow) if frame == "range"
-             else w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        wall = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
-        cols = {o: F.sum(e).over(w) for o, e in sums.items()}
-        if totals:
-            cols.update({f"{o}_total": F.sum(e).over(wall) for o, e in sums.items()})
-        return df.withColumns(cols)
     base = df.select("*", *[e.alias(f"_v_{o}") for o, e in sums.items()])
     r = _ranged(base, keys, order_cols, num_partitions)
     w = Window.partitionBy(PID, *keys).orderBy(*order_cols)
@@ -111,7 +81,7 @@ def running_sums(df: DataFrame, keys, order_cols, sums: dict[str, Column],
 
 
 def previous_values(df: DataFrame, keys, order_cols, value_cols, prefix: str = "prev_",
-                    num_partitions: int | None = None, strategy: str = "auto") -> DataFrame:
+                    num_partitions: int | None = None) -> DataFrame:
     """``lag(v) over (partition by keys order by order_cols)`` without a per-key task.
 
     The previous row of the first row in a partition segment is the last row
@@ -119,9 +89,6 @@ def previous_values(df: DataFrame, keys, order_cols, value_cols, prefix: str = "
     within a key (add a tiebreak column) for a deterministic answer.
     """
     keys, order_cols, value_cols = list(keys), list(order_cols), list(value_cols)
-    if _plain_window_fits(df, keys, strategy, num_partitions):
-        w = Window.partitionBy(*keys).orderBy(*order_cols) if keys else Window.orderBy(*order_cols)
-        return df.withColumns({f"{prefix}{v}": F.lag(v).over(w) for v in value_cols})
     r = _ranged(df, keys, order_cols, num_partitions)
     w = Window.partitionBy(PID, *keys).orderBy(*order_cols)
     local = r.select("*", *[F.lag(v).over(w).alias(f"{prefix}{v}") for v in value_cols],
@@ -139,7 +106,7 @@ def previous_values(df: DataFrame, keys, order_cols, value_cols, prefix: str = "
 
 
 def global_rank(df: DataFrame, order_cols, out_col: str = "rank",
-                num_partitions: int | None = None, strategy: str = "auto") -> DataFrame:
-    """``row_number() over (order by order_cols)``; a single task only below the row bound."""
+                num_partitions: int | None = None) -> DataFrame:
+    """``row_number() over (order by order_cols)``, never in a single task."""
     return running_sums(df, [], order_cols, {out_col: F.lit(1)}, frame="rows",
-                        num_partitions=num_partitions, strategy=strategy)
+                        num_partitions=num_partitions)

@@ -47,25 +47,14 @@ def test_global_rank(spark):
     assert [r for _, r in ranks] == list(range(1, 102))
 
 
-def test_auto_strategy_matches_forced_paths(spark):
-    df = _data(spark)
-    w = sequence.running_sums(df, ["k"], ["t"], {"cum": F.col("v")}, frame="rows", totals=True, strategy="window")
-    r = sequence.running_sums(df, ["k"], ["t"], {"cum": F.col("v")}, frame="rows", totals=True, strategy="range")
-    a = sorted((x["k"] or "", x["t"], x["cum"], x["cum_total"]) for x in w.collect())
-    b = sorted((x["k"] or "", x["t"], x["cum"], x["cum_total"]) for x in r.collect())
-    assert a == b
-    pw = sequence.previous_values(df, ["k"], ["t"], ["v"], strategy="window")
-    pr = sequence.previous_values(df, ["k"], ["t"], ["v"], strategy="range")
-    assert sorted((x["k"] or "", x["t"], x["prev_v"]) for x in pw.collect()) == \
-        sorted((x["k"] or "", x["t"], x["prev_v"]) for x in pr.collect())
+def test_hot_key_spans_several_partitions(spark):
+    r = sequence._ranged(_data(spark), ["k"], ["t"], 6)
+    assert r.where("k = 'hot'").select(sequence.PID).distinct().count() > 1
 
 
-def test_auto_takes_range_path_beyond_the_bound(spark):
+def test_default_partitions_equal_window(spark):
     df = _data(spark)
-    spark.conf.set(sequence.MAX_ROWS_CONF, "100")   # the hot key has 400 rows
-    try:
-        assert not sequence._plain_window_fits(df, ["k"], "auto", None)
-        spark.conf.set(sequence.MAX_ROWS_CONF, "1000")
-        assert sequence._plain_window_fits(df, ["k"], "auto", None)
-    finally:
-        spark.conf.unset(sequence.MAX_ROWS_CONF)
+    got = sequence.previous_values(df, ["k"], ["t"], ["v"])
+    exp = df.withColumn("prev_v", F.lag("v").over(Window.partitionBy("k").orderBy("t")))
+    assert sorted((x["k"] or "", x["t"], x["prev_v"]) for x in got.collect()) == \
+        sorted((x["k"] or "", x["t"], x["prev_v"]) for x in exp.collect())
