@@ -26,11 +26,13 @@ INDICATOR_COLUMNS = ["code", "ind_id", "year", "numerator", "rate", "lowci", "up
 
 def formatted(prepared: DataFrame, spec: IndicatorSpec, lookup: DataFrame, base_col: str,
               level_cols, population: DataFrame | None = None,
-              keep_base: bool = False, extra_keys=()) -> DataFrame:
+              keep_base: bool = False, extra_keys=(), key_values: dict[str, list] | None = None) -> DataFrame:
     """Stage one of an indicator run.
 
     ``extra_keys`` carry additional grouping columns (e.g. an indicator or
-    category key) so several indicators run in one job.
+    category key) so several indicators run in one job.  With a population
+    ``key_values`` lists each key's values: every one of them gets the whole
+    population, so areas and years without events are zero-filled per value.
     """
     std = spec.measure == "stdrate"
     if std and population is None:
@@ -53,7 +55,12 @@ def formatted(prepared: DataFrame, spec: IndicatorSpec, lookup: DataFrame, base_
     pop_hscp = spec.hscp or not (spec.geography == "council" or (std and spec.geography == "all"))
     if population is not None:
         pop = population.withColumn("year", F.col("year").cast("int"))
-        out = POP.join_population_full(rolled, pop, ["year", "code", *strata], spec.yearstart,
+        for k in extra_keys:
+            if not (key_values or {}).get(k):
+                raise ValueError(f"a run keyed by {k} with a population needs the values of {k}")
+            kind = dict(prepared.dtypes)[k]
+            pop = pop.withColumn(k, F.explode(F.array(*[F.lit(v).cast(kind) for v in key_values[k]])))
+        out = POP.join_population_full(rolled, pop, ["year", "code", *strata, *extra_keys], spec.yearstart,
                                        spec.yearend, adp=spec.adp, hscp=hscp_filter, pop_hscp=pop_hscp)
     else:
         out = rolled.where(F.col("year").between(spec.yearstart, spec.yearend))
@@ -76,7 +83,7 @@ def rates(df: DataFrame, spec: IndicatorSpec, ref_pop: DataFrame | None = None,
         return R.rate_crude(df, spec.crude_rate)
     if ref_pop is None:
         raise ValueError("perc_pcf needs a reference population")
-    return R.rate_perc_pcf(df, ref_pop, spec.time_agg, keys=["code", *extra_keys])
+    return R.rate_perc_pcf(df, ref_pop, spec.time_agg, keys=["code", *[k for k in extra_keys if k in ref_pop.columns]])
 
 
 def finalised(df: DataFrame, spec: IndicatorSpec, ref_pop: DataFrame | None = None,
@@ -91,6 +98,6 @@ def finalised(df: DataFrame, spec: IndicatorSpec, ref_pop: DataFrame | None = No
 
 def run_indicator(prepared: DataFrame, spec: IndicatorSpec, lookup: DataFrame, base_col: str,
                   level_cols, population: DataFrame | None = None, ref_pop: DataFrame | None = None,
-                  keep_base: bool = False, extra_keys=()) -> DataFrame:
-    f = formatted(prepared, spec, lookup, base_col, level_cols, population, keep_base, extra_keys)
+                  keep_base: bool = False, extra_keys=(), key_values: dict[str, list] | None = None) -> DataFrame:
+    f = formatted(prepared, spec, lookup, base_col, level_cols, population, keep_base, extra_keys, key_values)
     return finalised(f, spec, ref_pop, extra_keys)

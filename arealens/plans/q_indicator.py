@@ -6,6 +6,8 @@ written independently in DuckDB SQL.
 
 from __future__ import annotations
 
+import dataclasses
+
 from pyspark.sql import functions as F
 
 from ..operators import geography as G
@@ -18,6 +20,7 @@ from ..sources.refdata import EPOP_WEIGHTS, COUNCIL_TO_ADP, council_to_adp_table
 from ..sources.tables import read_table
 from . import oracle_sql as O
 from .indicator import INDICATOR_COLUMNS, finalised, formatted, run_indicator
+from .runner import run_keyed
 from .registry import present, register
 from .spec import IndicatorSpec
 
@@ -371,6 +374,28 @@ def q_count_only(spark, d):
     return present(out.select(*INDICATOR_COLUMNS))
 
 
+# ---- a keyed batch with a population: every indicator is zero-filled on its own ------------------
+KEYED = {99401: "1-URGENT", 99402: "5-LOW"}
+
+
+def _keyed_sql() -> str:
+    one = [crude_indicator_sql(dataclasses.replace(CRUDE, ind_id=k), (
+        "SELECT CAST(year(o_orderdate) AS INT) AS year, o_custkey AS datazone, CAST(count(*) AS DOUBLE) AS numerator "
+        f"FROM orders WHERE o_orderpriority = '{v}' GROUP BY 1, 2")) for k, v in KEYED.items()]
+    return " UNION ALL ".join(f"SELECT * FROM ({x})" for x in one)
+
+
+@register("keyed_batch_rates", sql=_keyed_sql())
+def q_keyed_batch_rates(spark, d):
+    ids = F.create_map(*[x for k, v in KEYED.items() for x in (F.lit(v), F.lit(k))])
+    o = read_table(spark, d, "orders", ["o_orderdate", "o_custkey", "o_orderpriority"])
+    prep = (o.withColumn("ind_id", F.try_element_at(ids, F.col("o_orderpriority"))).where(F.col("ind_id").isNotNull())
+            .groupBy(F.year("o_orderdate").cast("int").alias("year"), F.col("o_custkey").alias("datazone"), "ind_id")
+            .agg(F.count(F.lit(1)).cast("double").alias("numerator")))
+    return present(run_keyed(prep, CRUDE, FX.fx_area(spark, d), "datazone", LEVELS,
+                             population=FX.fx_population_total(spark, d), ind_ids=list(KEYED)))
+
+
 @register("split_by_category", sql=O.with_fx(
     ("pc", "SELECT CAST(year(o_orderdate) AS INT) AS year, o_custkey AS datazone, "
            "o_orderpriority AS category, "
