@@ -17,14 +17,22 @@ def fin_year(date_col) -> Column:
 def clean_fin_year(text_col) -> Column:
     """Financial-year codes to the opening calendar year.
 
-    "304" -> 2003, "1011" -> 2010, "2015/16" -> 2015.  Three characters mean
-    200x, four digits without a slash mean 20xx, anything with a slash keeps
-    its first four characters.
+    "304" -> 2003, "1011" -> 2010, "2015/16" and "2015-16" -> 2015.  A four
+    digit text whose halves are not consecutive is a plain year ("2015" ->
+    2015); any other shape is NULL.
     """
     t = F.trim(col(text_col))
-    return (F.when(F.length(t) == 3, F.concat(F.lit("200"), F.substring(t, 1, 1)))
-            .when(t.contains("/"), F.substring(t, 1, 4))
-            .otherwise(F.concat(F.lit("20"), F.substring(t, 1, 2)))).cast("int")
+    two, next_two = F.substring(t, 1, 2), F.substring(t, 3, 2)
+    pair = (two.try_cast("int") + 1) % 100 == next_two.try_cast("int")
+    return (F.when(t.rlike("^[0-9]{3}$"), F.concat(F.lit("200"), F.substring(t, 1, 1)))
+            .when(t.rlike("^[0-9]{4}[/-][0-9]{2}([0-9]{2})?$"), F.substring(t, 1, 4))
+            .when(t.rlike("^[0-9]{4}$") & pair, F.concat(F.lit("20"), two))
+            .when(t.rlike("^[0-9]{4}$"), t)).cast("int")
+
+
+def year_end_to_start(year_end) -> Column:
+    """Opening year of a financial year that is named by the year it ends in."""
+    return (col(year_end).cast("int") - 1).cast("int")
 
 
 def time_fix(time_agg: int) -> int:

@@ -30,7 +30,9 @@ def trim_code(c, n: int = 9) -> Column:
 
 
 def pad_number(c, width: int = 3) -> Column:
-    return F.lpad(col(c).cast("string"), width, "0")
+    """Zero-padded to ``width``; longer numbers stay whole."""
+    t = col(c).cast("string")
+    return F.lpad(t, F.greatest(F.length(t), F.lit(width)), F.lit("0"))
 
 
 def snake_case(name: str) -> str:

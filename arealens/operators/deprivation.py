@@ -52,7 +52,7 @@ def simd_version_by_year(facts: DataFrame, versions: DataFrame, releases: DataFr
     ``releases`` has one row per area with one rank column per release;
     ``rank_cols`` maps version -> rank column.
     """
-    f = facts.join(F.broadcast(versions), "year", "left")
+    f = facts.join(versions, "year", "left")
     f = f.join(releases, key, "left")
     pick = None
     for v, c in rank_cols.items():

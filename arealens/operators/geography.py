@@ -76,7 +76,7 @@ def level_filter(df: DataFrame, adp: bool = False, hscp: bool = True,
 
 def recode_area(df: DataFrame, history: DataFrame, code_col: str = "code") -> DataFrame:
     """Retired codes -> current codes through a (small, literal) history table."""
-    h = F.broadcast(history.select(F.col("old_code").alias("_old"), F.col("new_code").alias("_new")))
+    h = history.select(F.col("old_code").alias("_old"), F.col("new_code").alias("_new"))
     return (df.join(h, F.col(code_col) == F.col("_old"), "left")
             .withColumn(code_col, F.coalesce(F.col("_new"), F.col(code_col)))
             .drop("_old", "_new"))
@@ -106,7 +106,7 @@ def adp_rollup(df: DataFrame, council_to_adp: DataFrame, keys=("year",),
     """
     measures = [m for m in measures if m in df.columns]
     councils = df.where(F.col(code_col).startswith(LEVEL_PREFIX["ca"]))
-    m = F.broadcast(council_to_adp.select(F.col("ca").alias(code_col), F.col("adp").alias("_adp")))
+    m = council_to_adp.select(F.col("ca").alias(code_col), F.col("adp").alias("_adp"))
     adp = (councils.join(m, code_col, "inner")
            .groupBy(F.col("_adp").alias(code_col), *keys)
            .agg(*[F.coalesce(F.sum(x), F.lit(0.0)).alias(x) for x in measures]))
@@ -135,5 +135,5 @@ def incomplete_area_filter(df: DataFrame, exclusions: DataFrame, code_col: str =
     ex = (exclusions.select(F.col("code").alias("_c"),
                             F.explode(F.sequence(F.col("year_from").cast("int"),
                                                  F.col("year_to").cast("int"))).alias("_y")))
-    return df.join(F.broadcast(ex), (F.col(code_col) == F.col("_c")) & (F.col(year_col) == F.col("_y")),
+    return df.join(ex, (F.col(code_col) == F.col("_c")) & (F.col(year_col) == F.col("_y")),
                    "left_anti")

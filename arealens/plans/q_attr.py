@@ -123,7 +123,7 @@ def q_attributable_fraction(spark, d):
 
 # ---- F-15 survey rates with supplied intervals ------------------------------------------------
 _SURVEY_SQL = (
-    "SELECT 'S12' || lpad(CAST(doc_id AS VARCHAR), 6, '0') AS code, CAST(2010 + doc_id % 3 AS INT) AS year, "
+    "SELECT 'S12' || lpad(CAST(doc_id AS VARCHAR), greatest(6, length(CAST(doc_id AS VARCHAR)))::INT, '0') AS code, CAST(2010 + doc_id % 3 AS INT) AS year, "
     "CASE WHEN doc_id % 2 = 0 THEN 'Male' ELSE 'Female' END AS sex, m.measure, "
     "CAST(CASE m.measure WHEN 'percent' THEN 50 + doc_id % 40 WHEN 'lower' THEN 49 + doc_id % 40 - quality "
     "ELSE 51 + doc_id % 40 + toxic END AS DOUBLE) AS value FROM labels, "
@@ -160,24 +160,22 @@ def q_precomputed_indicator(spark, d):
 # ---- F-16 disclosure control -------------------------------------------------------------------
 _DISC_SQL = (
     "SELECT a.ca AS code, a.hb, CAST(year(o_orderdate) AS INT) AS year, CAST(count(*) AS DOUBLE) AS numerator "
-    "FROM orders JOIN fx_area a ON o_custkey = a.datazone WHERE o_orderpriority = '1-URGENT' "
-    "AND o_orderstatus = 'P' GROUP BY 1, 2, 3")
+    "FROM orders JOIN fx_area a ON o_custkey = a.datazone GROUP BY 1, 2, 3")
 
 
 @register("disclosure_control", sql=O.with_fx(
     ("c", _DISC_SQL),
-    ("w", "SELECT *, numerator < 5 AS small, sum(CAST(numerator < 5 AS INT)) OVER (PARTITION BY hb, year) AS n_small, "
-          "row_number() OVER (PARTITION BY hb, year ORDER BY numerator < 5, numerator, code) AS rk FROM c"),
+    ("w", "SELECT *, numerator < 80 AS small, sum(CAST(numerator < 80 AS INT)) OVER (PARTITION BY hb, year) AS n_small, "
+          "row_number() OVER (PARTITION BY hb, year ORDER BY numerator < 80, numerator, code) AS rk FROM c"),
     body=("SELECT code, hb, year, CASE WHEN small OR (n_small = 1 AND NOT small AND rk = 1) THEN NULL ELSE numerator "
           "END AS numerator, (small OR (n_small = 1 AND NOT small AND rk = 1)) AS suppressed FROM w")))
 def q_disclosure_control(spark, d):
-    o = read_table(spark, d, "orders", ["o_custkey", "o_orderdate", "o_orderpriority", "o_orderstatus"])
-    o = o.where((F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderstatus") == "P"))
+    o = read_table(spark, d, "orders", ["o_custkey", "o_orderdate"])
     a = FX.fx_area(spark, d).select("datazone", "ca", "hb")
     c = (o.join(a, o.o_custkey == a.datazone)
          .groupBy(F.col("ca").alias("code"), "hb", F.year("o_orderdate").cast("int").alias("year"))
          .agg(F.count(F.lit(1)).cast("double").alias("numerator")))
-    return DC.disclosure_control(c, "hb", keys=["year"]).select("code", "hb", "year", "numerator", "suppressed")
+    return DC.disclosure_control(c, "hb", keys=["year"], k=80).select("code", "hb", "year", "numerator", "suppressed")
 
 
 # ---- B-12..B-14 publication screens -------------------------------------------------------------

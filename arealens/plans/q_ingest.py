@@ -16,8 +16,6 @@ from ..sources.tables import read_csv, read_table, stack_with_source
 from . import oracle_sql as O
 from .registry import present, register
 
-YEARS = list(range(1995, 2002))
-
 
 # ---- A: sources -------------------------------------------------------------------
 
@@ -225,7 +223,7 @@ def q_join_parent_area(spark, d):
     return G.join_parent_area(kids, parents, "ca", "parent")
 
 
-_REG_KEY = ("CAST(l_orderkey AS VARCHAR) || lpad(CAST(l_linenumber AS VARCHAR), 3, '0') || "
+_REG_KEY = ("CAST(l_orderkey AS VARCHAR) || lpad(CAST(l_linenumber AS VARCHAR), greatest(3, length(CAST(l_linenumber AS VARCHAR)))::INT, '0') || "
             "CAST(year(l_shipdate) AS VARCHAR)")
 
 
@@ -243,17 +241,18 @@ def q_join_registry(spark, d):
 
 
 @register("boundary_splice", sql=O.with_fx(
-    ("o", "SELECT CAST(year(o_orderdate) AS INT) AS year, o_custkey, o_custkey % 100 + 1 AS suppkey FROM orders"),
+    ("o", "SELECT CAST(year(o_orderdate) AS INT) AS year, o_custkey, o_custkey % (SELECT max(s_suppkey) FROM supplier) + 1 AS suppkey FROM orders"),
     ("x", "SELECT o.year, 'S12' || lpad(CAST(c.c_nationkey AS VARCHAR), 6, '0') AS ca_old, "
           "'S12' || lpad(CAST(s.s_nationkey AS VARCHAR), 6, '0') AS ca_new FROM o "
           "LEFT JOIN customer c ON o.o_custkey = c.c_custkey LEFT JOIN supplier s ON o.suppkey = s.s_suppkey"),
     body="SELECT year, CASE WHEN year < 1998 THEN ca_old ELSE ca_new END AS ca, CAST(count(*) AS DOUBLE) AS numerator "
          "FROM x GROUP BY 1, 2"))
 def q_boundary_splice(spark, d):
-    o = read_table(spark, d, "orders", ["o_orderdate", "o_custkey"]).select(
-        F.year("o_orderdate").cast("int").alias("year"), "o_custkey", (F.col("o_custkey") % 100 + 1).alias("suppkey"))
     c = read_table(spark, d, "customer", ["c_custkey", "c_nationkey"])
     s = read_table(spark, d, "supplier", ["s_suppkey", "s_nationkey"])
+    last = s.select(F.max("s_suppkey")).scalar()
+    o = read_table(spark, d, "orders", ["o_orderdate", "o_custkey"]).select(
+        F.year("o_orderdate").cast("int").alias("year"), "o_custkey", (F.col("o_custkey") % last + 1).alias("suppkey"))
     x = (o.join(c, o.o_custkey == c.c_custkey, "left").join(s, o.suppkey == s.s_suppkey, "left")
          .select("year", FX.area_code("S12", "c_nationkey").alias("ca_old"),
                  FX.area_code("S12", "s_nationkey").alias("ca_new")))
@@ -265,16 +264,16 @@ def q_boundary_splice(spark, d):
 
 def _wide(spark, d):
     o = read_table(spark, d, "orders", ["o_custkey", "o_orderdate"]).withColumn("y", F.year("o_orderdate"))
-    return o.groupBy("o_custkey").agg(*[F.sum(F.when(F.col("y") == y, 1.0)).alias(f"n{y}") for y in YEARS])
+    years = sorted(r["y"] for r in o.select("y").distinct().collect())  # one row a year
+    return o.groupBy("o_custkey").agg(*[F.sum(F.when(F.col("y") == y, 1.0)).alias(f"n{y}") for y in years])
 
 
 @register("wide_years_unpivot", sql=(
-    "SELECT o_custkey, year, value FROM (" + " UNION ALL ".join(
-        f"SELECT o_custkey, {y} AS year, sum(CASE WHEN year(o_orderdate) = {y} THEN CAST(1 AS DOUBLE) END) AS value "
-        "FROM orders GROUP BY o_custkey" for y in YEARS) + ") WHERE value IS NOT NULL"))
+    "SELECT o_custkey, CAST(year(o_orderdate) AS INT) AS year, CAST(count(*) AS DOUBLE) AS value FROM orders "
+    "GROUP BY 1, 2"))
 def q_wide_years_unpivot(spark, d):
     w = _wide(spark, d)
-    return RS.wide_years_unpivot(w, ["o_custkey"], [f"n{y}" for y in YEARS], prefix="n", drop_null=True)
+    return RS.wide_years_unpivot(w, ["o_custkey"], [c for c in w.columns if c != "o_custkey"], prefix="n", drop_null=True)
 
 
 @register("measure_pivot", sql=(

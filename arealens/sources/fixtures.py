@@ -12,15 +12,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import pad_number
 from ..session import materialize
 from .refdata import SCOTLAND
 from .tables import read_table
 
 
 def area_code(prefix: str, key) -> F.Column:
-    """'S12' + 6-digit zero-padded key."""
-    c = F.col(key) if isinstance(key, str) else key
-    return F.concat(F.lit(prefix), F.lpad(c.cast("string"), 6, "0"))
+    """'S12' + key zero-padded to 6 digits (longer keys stay whole)."""
+    return F.concat(F.lit(prefix), pad_number(key, 6))
 
 
 def fx_area(spark: SparkSession, d: str) -> DataFrame:

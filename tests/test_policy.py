@@ -25,3 +25,8 @@ def test_machine_local_folder_only_as_test_fallback():
     for p, src in _sources():
         if "/tmp" in src:
             assert p.name == "session.py", p   # used only when the session names no checkpoint folder
+
+
+def test_operators_run_no_measuring_jobs():
+    for p, src in _sources("operators"):
+        assert not re.search(r"\.first\(\)|\.count\(\)(?!\.|\s*\.agg)", src), p
