@@ -17,8 +17,8 @@ with one another.  So every pair that shares a bucket is either confirmed or
 refuted on its sets, or already connected.
 
 With the default five rows and thirty bands a pair of similarity 0.8 shares
-no band with probability 7e-6, and the estimate (standard error 0.018) is cut
-0.09 below the threshold.
+no band with probability 7e-6, and the estimate (standard error 0.015) is cut
+0.06 below the threshold.
 
 Defined cases: a text without words (null, empty, white space) has no set and
 is linked with nothing; a text of fewer words than a shingle is one shingle;
@@ -39,8 +39,8 @@ from ..session import materialize
 from .base import slices
 from .components import connected_components
 
-BANDS, ROWS, HASHES, BITS = 30, 5, 512, 4
-MARGIN = 0.09
+BANDS, ROWS, HASHES, BITS = 30, 5, 1024, 2
+MARGIN = 0.06
 PIVOTS = 3
 MAX_WORDS = 300_000   # word hashes a worker remembers
 
