@@ -5,8 +5,8 @@ minima are taken; the first ``bands * rows`` of them form band keys for
 candidate generation, and of every minimum only the low ``bits`` bits are
 kept, packed as bit planes.  Two signatures agree where no plane differs,
 which bit counts find; chance agreement (2**-bits) is taken out of the
-estimate.  A candidate pair whose estimate is within reach of the threshold
-is confirmed on the full sets.
+estimate.  A candidate pair whose set sizes allow the threshold and whose
+estimate is within reach of it is confirmed on the full sets.
 
 Documents with equal sets are one class from the start, so any number of
 exact copies is one row.  A band bucket is not expanded into pairs: first
@@ -180,7 +180,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     usable = sketches.where(F.col("doc_id").isNotNull() & F.col("set_key").isNotNull())
     classes = materialize(usable.groupBy("set_key").agg(F.min("doc_id").alias("rep")), "classes")
     signed = (usable.join(classes.withColumnRenamed("rep", "doc_id"), ["set_key", "doc_id"])
-              .select(F.col("doc_id").alias("rep"), "bands", "sig"))
+              .select(F.col("doc_id").alias("rep"), "n_shingles", "bands", "sig"))
 
     # buckets that more than one class meets in
     keys = signed.select("rep", F.posexplode("bands").alias("band", "key"))
@@ -190,8 +190,10 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     wanted = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(
         sigs.select(F.col("rep").alias("_id")).distinct(), "_id", "left_semi")
     sets = materialize(full_sets(wanted, "_id", "_text", shingle), "sets")
-    sig_a = sigs.select(F.col("rep").alias("a"), F.col("sig").alias("ga"))
-    sig_b = sigs.select(F.col("rep").alias("b"), F.col("sig").alias("gb"))
+    sig_a = sigs.select(F.col("rep").alias("a"), F.col("n_shingles").alias("na"), F.col("sig").alias("ga"))
+    sig_b = sigs.select(F.col("rep").alias("b"), F.col("n_shingles").alias("nb"), F.col("sig").alias("gb"))
+    # sets of too different sizes cannot reach the threshold
+    alike = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
 
     # every class with the pivots of its (at most ``bands``) buckets: those of the best estimates
     met = members.groupBy("rep").agg(F.sum("size").alias("met"))
@@ -199,7 +201,8 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     pivots = ranked.groupBy("key").agg(F.max(F.struct("met", "rep")).alias("p")).select("key", F.col("p.rep").alias("b"))
     stars = (members.select("key", F.col("rep").alias("a")).join(pivots, "key").where("a != b")
              .select("a", "b").distinct()
-             .join(sig_a, "a").join(sig_b, "b").withColumn("near", estimate(F.col("ga"), F.col("gb"), hashes, bits))
+             .join(sig_a, "a").join(sig_b, "b").where(alike)
+             .withColumn("near", estimate(F.col("ga"), F.col("gb"), hashes, bits))
              .where(F.col("near") >= enough).groupBy("a")
              .agg(F.slice(F.sort_array(F.collect_list(F.struct("near", "b")), asc=False), 1, PIVOTS).alias("p"))
              .select("a", F.explode("p.b").alias("b")))
@@ -211,13 +214,13 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         "key", "band", "rep", F.coalesce("component", "rep").alias("comp"))
     mixed = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
     parted = materialize(placed.join(mixed, "key", "left_semi").join(sigs, "rep"), "parted")
-    one = parted.select("key", "band", F.col("rep").alias("a"), F.col("comp").alias("ca"), F.col("sig").alias("ga"),
-                        F.col("bands").alias("ba"))
-    two = parted.select("key", F.col("rep").alias("b"), F.col("comp").alias("cb"), F.col("sig").alias("gb"),
-                        F.col("bands").alias("bb"))
+    one = parted.select("key", "band", F.col("rep").alias("a"), F.col("comp").alias("ca"),
+                        F.col("n_shingles").alias("na"), F.col("sig").alias("ga"), F.col("bands").alias("ba"))
+    two = parted.select("key", F.col("rep").alias("b"), F.col("comp").alias("cb"),
+                        F.col("n_shingles").alias("nb"), F.col("sig").alias("gb"), F.col("bands").alias("bb"))
     earlier = F.exists(F.zip_with(F.slice("ba", F.lit(1), F.col("band")), F.slice("bb", F.lit(1), F.col("band")),
                                   lambda x, y: x == y), lambda x: x)
-    rest = (one.join(two, (one["key"] == two["key"]) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))
+    rest = (one.join(two, (one["key"] == two["key"]) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & alike
                      & (estimate(F.col("ga"), F.col("gb"), hashes, bits) >= enough) & ~earlier)
             .select("a", "b").distinct())
     more = _confirmed(rest, sets, percent)
