@@ -16,9 +16,13 @@ vector it hangs together with there), never the pairs.  Buckets of more than
 ``block`` vectors are cut into blocks, and every two blocks meet in a task of
 their own.  Equal vectors are one row from the start.
 
-Links below the threshold cannot occur; a pair at cosine 0.93 in 64
-dimensions is missed with a probability of about 0.001 (measured by
-simulation; closer pairs less).
+Links below the threshold cannot occur.  A pair at the threshold is missed with
+a chance of at most MISS, closer pairs less: ``tau`` is a quantile of the real
+distribution of the projections, and the rotations are simulated for each
+number of dimensions and size of the codebooks, which grow with the largest
+label; codebooks stop growing where that would take more than MOST rotations.
+If no codebook reaches MISS (thresholds far below 0.9), all vectors of a label
+are compared.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite
 components, and rows without label, are linked with nothing and kept; vectors
@@ -28,7 +32,8 @@ but are no one's component; rows that repeat an id count as further vectors.
 
 from __future__ import annotations
 
-from statistics import NormalDist
+import math
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -40,16 +45,34 @@ from .components import connected_components
 from .vectors import groups, matrix, packed, unpacked, usable
 
 CODEWORDS, ROTATIONS, PASSED, BLOCK = 64, 6, 8.0, 1024
+MISS, MOST = 0.001, 48   # chance to miss a pair at the threshold, rotations of a codebook that may grow
+
+
+def projection_quantile(dim: int, share: float) -> float:
+    """The value that the projection of a random unit vector on a direction of Filters exceeds with chance ``share``."""
+    turns = (np.arange(20_000) + 0.5) * np.pi / 20_000
+    value, weight = [], []
+    for half in (dim // 2, dim - dim // 2):
+        w = np.sin(turns) ** (half - 2)
+        value.append(np.cos(turns) * np.sqrt(half / 2))
+        weight.append(w / w.sum())
+    above = np.cumsum(weight[1])
+    low, high = 0.0, float(value[0][0] + value[1][0])
+    for _ in range(50):
+        tau = (low + high) / 2
+        chance = weight[0] @ np.interp(value[0] - tau, -value[1], above, left=0.0, right=1.0)
+        low, high = (tau, high) if chance > share else (low, tau)
+    return (low + high) / 2
 
 
 class Filters:
-    """The structured directions for one dimension."""
+    """The structured directions for one dimension (of at least 4)."""
 
     def __init__(self, dim: int, codewords: int = CODEWORDS, rotations: int = ROTATIONS, passed: float = PASSED,
                  seed: int = 11):
         rng = np.random.default_rng([seed, dim])
         self.m, self.half = codewords, max(1, dim // 2)
-        self.tau = NormalDist().inv_cdf(1 - min(0.5, passed / codewords ** 2))
+        self.tau = projection_quantile(dim, min(0.5, passed / codewords ** 2))
         self.turns = []
         for _ in range(rotations):
             turn, _ = np.linalg.qr(rng.standard_normal((dim, dim)))
@@ -80,6 +103,13 @@ class Filters:
         return [np.sort(np.concatenate(f)).astype(np.int32) for f in found]
 
 
+class Everything:
+    """One filter that every vector passes, for lengths whose pairs the codes cannot reach."""
+
+    def decode(self, unit: np.ndarray) -> list[np.ndarray]:
+        return [np.zeros(1, np.int32)] * len(unit)
+
+
 def _links(rows, cols, lists_rows, lists_cols, this, threshold, same):
     """Which rows link with which columns, of the pairs whose smallest common filter is ``this``."""
     near = rows @ cols.T >= threshold
@@ -120,13 +150,56 @@ def _roots(n: int, near: np.ndarray, offset: int) -> np.ndarray:
         root = low
 
 
-def codewords_for(largest: int, passed: float = PASSED, bucket: int = 64) -> int:
-    """Codebook size (a power of two, at least CODEWORDS) at which a filter of the largest label holds about
-    ``bucket`` random vectors."""
-    m = CODEWORDS
-    while largest * passed / m ** 2 > bucket:
+def turn_miss(dim: int, codewords: int, passed: float, threshold: float, pairs: int = 4096) -> float:
+    """Chance that a pair at cosine ``threshold`` shares no filter of one rotation: simulated on ``pairs`` random
+    pairs and eight sets of codebooks, plus two standard errors."""
+    rng = np.random.default_rng([17, dim, codewords])
+    missed = 0
+    for seed in range(8):
+        x, z = rng.standard_normal((2, pairs // 8, dim))
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        z -= (z * x).sum(1, keepdims=True) * x
+        y = threshold * x + np.sqrt(1 - threshold ** 2) * z / np.linalg.norm(z, axis=1, keepdims=True)
+        filters = Filters(dim, codewords, 1, passed, 100 + seed)
+        missed += sum(not len(np.intersect1d(a, b, True)) for a, b in zip(filters.decode(x), filters.decode(y)))
+    share = missed / (pairs // 8 * 8)
+    return share + 2 * np.sqrt(max(share, 1 / pairs) * (1 - share) / pairs)
+
+
+@lru_cache(maxsize=None)
+def rotations_for(dim: int, codewords: int, passed: float, threshold: float) -> int:
+    """Rotations after which a pair at ``threshold`` is missed with a chance of at most MISS; half of it is aimed
+    at, as the codebooks of one seed differ from the mean."""
+    share = turn_miss(dim, codewords, passed, max(-1.0, min(threshold, 1 - 1e-9)))
+    return math.ceil(math.log(MISS / 2) / math.log(share)) if share < 1 else 1 << 30
+
+
+def settings_for(dim: int, largest: int, threshold: float, passed: float = PASSED, rotations: int = ROTATIONS,
+                 bucket: int = 64) -> tuple[int, int, float] | None:
+    """(codewords, rotations, passed) at which a pair at ``threshold`` is missed with a chance of at most MISS: the
+    smallest codebook of at least CODEWORDS at which a filter of the largest label holds about ``bucket`` random
+    vectors, or the largest one that needs at most MOST rotations.  None if no codebook gets there, or
+    the halves have less than two dimensions."""
+    m, found = CODEWORDS, None
+    if dim < 4:
+        return None
+    while passed <= CODEWORDS ** 2 / 4:
+        needed = max(rotations, rotations_for(dim, m, passed, threshold))
+        if needed > max(rotations, MOST) or needed * m * m >= 1 << 31:   # ids of filters are 32-bit
+            if found:
+                return found
+            passed *= 2
+            continue
+        found = m, needed, passed
+        if largest * passed / m ** 2 <= bucket:
+            return found
         m *= 2
-    return m
+    return found
+
+
+@lru_cache(maxsize=4)
+def filters_of(dim: int, threshold: float, chosen: tuple[int, int, float] | None):
+    return Everything() if chosen is None else Filters(dim, *chosen)
 
 
 def near_duplicates(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embedding",
@@ -141,11 +214,11 @@ def near_duplicates(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: s
     classes = materialize(rows.where("ok").groupBy("label", "v").agg(
         F.min("vec_id").alias("rep"), F.count("*").alias("copies"))
         .withColumn("node", F.xxhash64("label", "v")), "vector-classes")
-    largest = classes.groupBy("label").count().agg(F.max("count")).collect()[0][0] or 0  # one number
-    m = codewords_for(largest, passed)
+    # one row per length of vectors
+    largest = classes.groupBy("label", F.size("v").alias("dim")).count().groupBy("dim").agg(F.max("count")).collect()
+    chosen = {dim: settings_for(dim, n, threshold, passed, rotations) for dim, n in largest}
 
     def decode(batches):
-        made: dict[int, Filters] = {}
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
@@ -156,11 +229,9 @@ def near_duplicates(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: s
                     scale = np.abs(x).max(axis=1, keepdims=True)
                     x = x / scale
                     x = x / np.linalg.norm(x, axis=1, keepdims=True)
-                    if dim not in made:
-                        made[dim] = Filters(dim, m, rotations, passed)
                     yield pa.RecordBatch.from_arrays(
                         [pick.column("node"), pick.column("copies"), pick.column("label"), pick.column("dim"),
-                         packed(x), pa.array(made[dim].decode(x), pa.list_(pa.int32()))],
+                         packed(x), pa.array(filters_of(dim, threshold, chosen[dim]).decode(x), pa.list_(pa.int32()))],
                         names=["node", "copies", "label", "dim", "unit", "filters"])
 
     kind = vectors.schema[label_col].dataType.simpleString()

@@ -104,6 +104,23 @@ def test_embedding_dedup_equals_brute_force(spark):
     assert embed_dedup.near_duplicates(df.limit(0)).count() == 0
 
 
+def _pairs_at(dim, n, cosine):
+    rng = np.random.default_rng(5)
+    x, z = rng.standard_normal((2, n, dim))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    z -= (z * x).sum(1, keepdims=True) * x
+    return x, cosine * x + np.sqrt(1 - cosine ** 2) * z / np.linalg.norm(z, axis=1, keepdims=True)
+
+
+def test_filters_miss_no_more_pairs_as_labels_grow():
+    x, y = _pairs_at(64, 4000, 0.93)
+    for largest, codewords in ((1000, 64), (100_000, 128), (1_000_000, 512), (4_000_000, 1024)):
+        chosen = embed_dedup.settings_for(64, largest, 0.93)
+        filters = embed_dedup.filters_of(64, 0.93, chosen)
+        missed = sum(not set(a.tolist()) & set(b.tolist()) for a, b in zip(filters.decode(x), filters.decode(y)))
+        assert chosen[0] == codewords and missed <= 0.001 * len(x)
+
+
 def test_nearest_recall_and_exact_scores(spark):
     rows = [r for r in _vectors(600, 40)]
     df = spark.createDataFrame(rows + BAD, "vec_id bigint, embedding array<double>, label int")
