@@ -21,7 +21,8 @@ a chance of at most MISS, closer pairs less: ``tau`` is a quantile of the real
 distribution of the projections, and the rotations are simulated for each
 number of dimensions and size of the codebooks, which grow with the largest
 label; codebooks stop growing where that would take more than MOST rotations.
-If no codebook reaches MISS (thresholds far below 0.9), all vectors of a label
+Up to CELLS dimensions the filters
+are grid cells instead, which miss no pair.  If no codebook reaches MISS (thresholds far below 0.9), all vectors of a label
 are compared.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite
@@ -46,6 +47,7 @@ from .vectors import groups, matrix, packed, unpacked, usable
 
 CODEWORDS, ROTATIONS, PASSED, BLOCK = 64, 6, 8.0, 1024
 MISS, MOST = 0.001, 48   # chance to miss a pair at the threshold, rotations of a codebook that may grow
+CELLS = 8                # dimensions up to which cells are compared
 
 
 def projection_quantile(dim: int, share: float) -> float:
@@ -103,11 +105,38 @@ class Filters:
         return [np.sort(np.concatenate(f)).astype(np.int32) for f in found]
 
 
-class Everything:
-    """One filter that every vector passes, for lengths whose pairs the codes cannot reach."""
+class Cells:
+    """Exact filters: the cells of a grid that meet the ball around a vector which holds the middle of its every
+    pair at ``threshold`` or above.  Two such vectors share the cell of their middle.  Where one cell would hold
+    most of the space, all vectors pass one filter."""
+
+    def __init__(self, dim: int, threshold: float, seed: int = 11):
+        apart = math.sqrt(max(0.0, 2 - 2 * threshold))      # largest distance of a pair
+        self.side = max(apart, 1e-3)
+        self.radius = apart / 2 + 1e-7
+        rng = np.random.default_rng([seed, dim])
+        self.shift = rng.random(dim)
+        self.odd = rng.integers(1, 1 << 62, dim, dtype=np.int64) * 2 + 1
+        self.all = dim > CELLS or self.side > 1
 
     def decode(self, unit: np.ndarray) -> list[np.ndarray]:
-        return [np.zeros(1, np.int32)] * len(unit)
+        """Sorted ids (hashed) of the cells of each row (of length one)."""
+        if self.all:
+            return [np.zeros(1, np.int32)] * len(unit)
+        x, radius = unit / self.side + self.shift, self.radius / self.side
+        row, left, ids = np.arange(len(x)), np.full(len(x), radius ** 2), np.zeros(len(x), np.int64)
+        for d, odd in enumerate(self.odd):
+            at, home = x[row, d], np.floor(x[row, d])
+            parts = []
+            for step in (-1, 0, 1):
+                gap = {-1: at - home, 0: 0.0 * at, 1: home + 1 - at}[step]
+                ok = np.flatnonzero(gap ** 2 <= left)
+                with np.errstate(over="ignore"):
+                    parts.append((row[ok], left[ok] - gap[ok] ** 2, ids[ok] + (home[ok].astype(np.int64) + step) * odd))
+            row, left, ids = (np.concatenate(p) for p in zip(*parts))
+        ids = ((ids ^ (ids >> 29)) & 0x7FFFFFFF).astype(np.int32)
+        order = np.argsort(row, kind="stable")
+        return [np.unique(f) for f in np.split(ids[order], np.cumsum(np.bincount(row, minlength=len(x)))[:-1])]
 
 
 def _links(rows, cols, lists_rows, lists_cols, this, threshold, same):
@@ -178,10 +207,10 @@ def settings_for(dim: int, largest: int, threshold: float, passed: float = PASSE
                  bucket: int = 64) -> tuple[int, int, float] | None:
     """(codewords, rotations, passed) at which a pair at ``threshold`` is missed with a chance of at most MISS: the
     smallest codebook of at least CODEWORDS at which a filter of the largest label holds about ``bucket`` random
-    vectors, or the largest one that needs at most MOST rotations.  None if no codebook gets there, or
-    the halves have less than two dimensions."""
+    vectors, or the largest one that needs at most MOST rotations.  None (Cells) if no codebook gets there, and up
+    to CELLS dimensions."""
     m, found = CODEWORDS, None
-    if dim < 4:
+    if dim <= CELLS:
         return None
     while passed <= CODEWORDS ** 2 / 4:
         needed = max(rotations, rotations_for(dim, m, passed, threshold))
@@ -199,7 +228,7 @@ def settings_for(dim: int, largest: int, threshold: float, passed: float = PASSE
 
 @lru_cache(maxsize=4)
 def filters_of(dim: int, threshold: float, chosen: tuple[int, int, float] | None):
-    return Everything() if chosen is None else Filters(dim, *chosen)
+    return Cells(dim, threshold) if chosen is None else Filters(dim, *chosen)
 
 
 def near_duplicates(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embedding",

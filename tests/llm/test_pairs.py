@@ -121,6 +121,29 @@ def test_filters_miss_no_more_pairs_as_labels_grow():
         assert chosen[0] == codewords and missed <= 0.001 * len(x)
 
 
+def test_embedding_dedup_in_few_dimensions(spark):
+    rng = np.random.default_rng(4)
+    rows, links = [], set()
+    for dim in range(1, 17):
+        centres = rng.standard_normal((20, dim))
+        spread = 0.25 * np.linalg.norm(centres, axis=1, keepdims=True) / math.sqrt(dim)
+        x = np.concatenate([centres, centres + spread * rng.standard_normal((20, dim)), 2 * centres[:3]])
+        unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+        links |= {(100 * dim + i, 100 * dim + j) for i, j in zip(*np.nonzero(unit @ unit.T >= 0.93)) if i < j}
+        rows += [(100 * dim + i, v.tolist(), 1) for i, v in enumerate(x)]
+    got = embed_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")).collect()
+    want = _components([r[0] for r in rows], links)
+    assert {r["vec_id"]: r["component_id"] for r in got} == want
+    assert {r["vec_id"]: r["n_links"] for r in got} == {i: sum(i in x for x in links) for i in want}
+
+
+def test_cells_hold_every_pair():
+    for dim, threshold in ((1, 0.93), (2, 0.93), (5, 0.6), (8, 0.93), (8, 0.999)):
+        cells = embed_dedup.Cells(dim, threshold)
+        x, y = _pairs_at(dim, 500, threshold) if dim > 1 else (np.ones((2, 1)), np.ones((2, 1)))
+        assert all(set(a.tolist()) & set(b.tolist()) for a, b in zip(cells.decode(x), cells.decode(y)))
+
+
 def test_nearest_recall_and_exact_scores(spark):
     rows = [r for r in _vectors(600, 40)]
     df = spark.createDataFrame(rows + BAD, "vec_id bigint, embedding array<double>, label int")
