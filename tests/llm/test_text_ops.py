@@ -206,3 +206,39 @@ def test_packing_holds_every_id_once_without_padding(spark, reference, nasty, no
         assert total <= 1024 and total & (total - 1) == 0
     assert packing.pack(nothing).count() == 0
     assert packing.pack(nasty).select("doc_id").distinct().count() == 7
+
+
+def _packed(lengths, tiers):
+    packer = packing.Packer(tiers)
+    for i, n in enumerate(lengths):
+        packer.add(i, i.to_bytes(4, "little") * n)
+    sequences, groups = defaultdict(list), defaultdict(set)
+    for key, start, n, _, _, sequence, _, tier, group in packer.drain(last=True):
+        sequences[sequence].append((key, start, n, tier))
+        groups[tier, group].add(sequence)
+    return list(sequences.values()), groups
+
+
+def test_packing_tiers_pack_their_own_windows():
+    lengths = [(i * 37) % 100 + 1 for i in range(600)] + [(i * 53) % 300 + 1 for i in range(200)] + [900] * 20
+    sequences, groups = _packed(lengths, (1024, 512, 256, 128))
+    tier_of = lambda n: next(t for t in (128, 256, 512, 1024) if n <= t)
+    sizes = defaultdict(list)
+    for pieces in sequences:
+        sizes[pieces[0][3]].append(sum(n for _, _, n, _ in pieces))
+        assert all(tier_of(n) <= tier for _, _, n, tier in pieces)
+    assert sum(map(sum, sizes.values())) == sum(lengths)
+    assert all(sum(x != tier for x in got) <= 9 for tier, got in sizes.items())      # one leftover of the task
+    assert all(len(sizes[tier]) >= 10 for tier in (128, 512, 1024))
+    assert sorted(map(sorted, sequences)) != sorted(map(sorted, _packed(lengths, (1024, 256))[0]))
+
+
+def test_packing_groups_are_full_and_balanced():
+    lengths = [1024 * (1 + i % 3) + 5 + i % 200 for i in range(1000)]
+    sequences, groups = _packed(lengths, (1024, 512, 256, 128))
+    by_tier = defaultdict(list)
+    for (tier, _), members in groups.items():
+        by_tier[tier].append(len(members))
+    for counts in by_tier.values():
+        assert max(counts) <= 8 and sum(c != 8 for c in counts) <= 1
+    assert len({g for _, g in groups}) == len(groups)      # no group holds two tiers
