@@ -7,6 +7,7 @@ read again.  All but the last return the columns of ``documents``.
 1. ``toxicity`` drops documents the fitted lexicon scores at 0.5 or more.
 2. ``near_duplicates`` keeps of each group (five-word shingles, similarity
    0.8 or more) the document of smallest id, once if that row repeats.
+   Rows of one id are separate documents unless their texts are near too.
 3. ``secrets`` replaces findings by ``[kind]`` and sets n_chars anew; it
    drops no document.
 4. ``packing`` cuts the texts' token ids into sequences of 1024 at most.
@@ -34,14 +35,29 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    marks = minhash.near_duplicates(docs, shingle=5, percent=80).where(F.col("doc_id").isNotNull())
-    of_id = marks.groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count("*").alias("rows"))
-    gone = of_id.where(~F.col("kept")).select("doc_id")
-    again = of_id.where(F.col("kept") & (F.col("rows") > 1)).select("doc_id")
-    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    # the few ids with several rows: one row stays
-    once = kept.join(again, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"])
-    return kept.join(again, "doc_id", "left_anti").select(*docs.columns).unionByName(once)
+    # rows of one id with unlike texts are separate documents; texts without words are alike
+    words = F.translate(F.coalesce("text", F.lit("")), " \t\n\r\x0b\x0c", "") != ""
+    rows = docs.withColumn("_text", F.when(words, F.xxhash64("text")).otherwise(F.lit(0).cast("bigint"))).withColumn(
+        "_document", F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", "_text")))
+    marks = materialize(minhash.near_duplicates(rows, id_col="_document", shingle=5, percent=80).select(
+        F.col("doc_id").alias("_document"), "component_id").where(F.col("_document").isNotNull()), "marks")
+    # the members of every group, and its document of smallest id
+    tied = marks.where("_document != component_id").select("component_id").distinct()
+    members = marks.join(tied, "component_id", "left_semi").select("_document", "component_id").distinct()
+    document = F.struct("doc_id", "_text")
+    grouped = rows.select("_document", "doc_id", "_text").join(members, "_document").distinct()
+    first = grouped.groupBy("component_id").agg(F.min(document).alias("first"))
+    # documents whose 64-bit keys are equal by chance all stay
+    gone = (grouped.join(first, "component_id").groupBy("_document")
+            .agg(F.min(document != F.col("first")).alias("gone"), F.count("*").alias("n")).where("gone AND n = 1")
+            .select("_document"))
+    again = marks.groupBy("_document").agg(F.count("*").alias("n")).where("n > 1").select("_document")
+    kept = rows.join(gone, "_document", "left_anti")
+    # the few documents with several rows: one row stays, the same in every run
+    row = F.struct(*[F.col(c) for c in docs.columns])
+    once = (kept.join(again, "_document", "left_semi").groupBy("_document", "doc_id", "_text")
+            .agg(F.min_by(row, F.to_json(row)).alias("row")).select("row.*"))
+    return kept.join(again, "_document", "left_anti").select(*docs.columns).unionByName(once)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

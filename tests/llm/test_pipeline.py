@@ -45,6 +45,18 @@ def test_stages(spark, corpus):
     assert packed.select("doc_id").distinct().count() == safe.select("doc_id").distinct().count()
 
 
+def test_rows_of_one_id_with_unlike_texts_stay(spark):
+    text = lambda i: " ".join(f"t{i}w{j}" for j in range(30))
+    rows = [(5, text("a"), 1), (5, text("b"), 2), (9, text("b"), 3), (7, text("c"), 5), (7, text("c"), 4), (8, text("c"), 6),
+            (6, None, 8), (6, " ", 7), (None, text("a"), 9)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, n_chars int")
+    got = corpus_pipeline.drop_near_duplicates(spark, docs, "")
+    assert got.columns == docs.columns
+    rest = sorted((tuple(r) for r in got.collect() if r["doc_id"] is not None and r["doc_id"] != 6))
+    assert rest == sorted([(5, text("a"), 1), (5, text("b"), 2), (7, text("c"), 4)])
+    assert got.where("doc_id = 6").count() == 1 and got.where("doc_id IS NULL").count() == 1
+
+
 def test_run_equals_its_stages(spark, corpus):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "near_duplicates", "secrets", "packing"]
     out = corpus_pipeline.run(spark, corpus)
