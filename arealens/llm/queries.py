@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import ann, bpe, chat, embed_dedup, license_scan, minhash, packing, secret_scan, toxicity, url_filter
+from . import (ann, bpe, chat, embed_dedup, fim, license_scan, minhash, packing, prefix_trie, secret_scan, toxicity,
+               url_filter, warc)
 from .base import is_held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -129,6 +130,26 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "result_turn", "status", "valid", F.md5("json").alias("json_md5"))
 
 
+@query
+def op11_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fim.transform(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2(fim.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
+@query
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nodes = prefix_trie.rebuilt_trie(read_table(spark, sf_dir, "conversations", ["conv_id", "turn", "role", "text"]))
+    return nodes.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens",
+                        "ends_sha256")
+
+
+@query
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.round_trip(read_table(spark, sf_dir, "pages", ["page_id", "url", "html"]))
+    return records.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages of corpus_pipeline.py, one after another."""
     import corpus_pipeline
@@ -232,3 +253,60 @@ SELECT conv_id, turn, call_id, name, level::BIGINT AS level, result_turn, status
     '{"call":null,"id":"call_' || (r.turn - 1) || '","result":' || to_json(r.text)::VARCHAR || '}'
   FROM res r WHERE NOT EXISTS (SELECT 1 FROM calls c WHERE c.conv_id = r.conv_id AND c.turn = r.turn - 1))
 """
+
+ORACLES["op11_fim"] = r"""
+WITH t AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text,
+    sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS s FROM documents),
+u AS (SELECT *, regexp_extract_all(text, '[^\n]*\n|[^\n]+') AS u,
+    [CAST('0x' || substr(s, 1, 8) AS BIGINT), CAST('0x' || substr(s, 9, 8) AS BIGINT),
+     CAST('0x' || substr(s, 17, 8) AS BIGINT), CAST('0x' || substr(s, 25, 8) AS BIGINT)] AS h FROM t),
+c AS (SELECT *, len(u) AS n, least(h[1] % (len(u) + 1), h[2] % (len(u) + 1)) AS a,
+    greatest(h[1] % (len(u) + 1), h[2] % (len(u) + 1)) AS b FROM u),
+p AS (SELECT *, array_to_string(u[1:a], '') AS p, array_to_string(u[a + 1:b], '') AS m,
+    array_to_string(u[b + 1:], '') AS s3,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h[3] % 100 >= 100
+      THEN 'plain' WHEN h[4] % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM c)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(p) END::BIGINT AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(m) END::BIGINT AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s3 || '<M>' || m
+    ELSE '<S>' || s3 || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(text) AS restored_sha256
+FROM p
+"""
+
+ORACLES["op12_prefix_trie"] = r"""
+WITH o AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS i,
+    length(role) || ':' || role || text AS item, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    WHERE conv_id IS NOT NULL)),
+n AS (SELECT conv_id, count(*) AS own, conv_id - conv_id % 20 AS base, xor(4294967295, list_reduce(
+    list_prepend(4294967295::BIGINT, flatten(list_transform(range(1, length(conv_id::VARCHAR) + 1),
+      lambda k: [ascii(substr(conv_id::VARCHAR, k::INT, 1))::BIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+    lambda a, e: xor(xor(a, e) >> 1, 3988292384 * (xor(a, e) & 1)))) % 4 AS h FROM o GROUP BY conv_id),
+c AS (SELECT n.conv_id, n.base, n.h, least(n.h, coalesce(b.own, 0)) AS k FROM n LEFT JOIN n b ON b.conv_id = n.base),
+r AS (SELECT c.conv_id, o.i AS p, o.item, o.words FROM c JOIN o ON o.conv_id = c.base AND o.i < c.k
+  UNION ALL SELECT c.conv_id, o.i - c.h + c.k, o.item, o.words FROM c JOIN o ON o.conv_id = c.conv_id AND o.i >= c.h),
+q AS (SELECT c.conv_id, coalesce(list(r.item ORDER BY r.p) FILTER (r.p IS NOT NULL), []) AS items,
+    coalesce(list(r.words ORDER BY r.p) FILTER (r.p IS NOT NULL), []) AS words FROM c LEFT JOIN r USING (conv_id)
+  GROUP BY c.conv_id),
+m AS (SELECT conv_id, d, items[1:d] AS key, CASE WHEN d > 0 THEN words[d] ELSE 0 END AS words, d = len(items) AS ends
+  FROM (SELECT *, unnest(range(0, len(items) + 1)) AS d FROM q)),
+g AS (SELECT key, any_value(d) AS d, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words,
+    coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '') AS ends FROM m GROUP BY key),
+k AS (SELECT key[1:d - 1] AS key, count(*) AS n FROM g WHERE d > 0 GROUP BY 1),
+f AS (SELECT g.*, coalesce(k.n, 0) AS n_children FROM g LEFT JOIN k USING (key)),
+s AS (SELECT key[1:a] AS key, sum((n_children = 0)::INT) AS n_leaves, sum((n_convs - 1) * words) AS saved
+  FROM (SELECT *, unnest(range(0, d + 1)) AS a FROM f) GROUP BY 1)
+SELECT f.conv_id, f.d::BIGINT AS depth, up.conv_id AS parent_conv_id, f.n_convs::BIGINT AS n_convs,
+  f.n_children::BIGINT AS n_children, s.n_leaves::BIGINT AS n_leaves, s.saved::BIGINT AS saved_tokens,
+  sha256(f.ends) AS ends_sha256
+FROM f JOIN s USING (key) LEFT JOIN g up ON f.d > 0 AND up.key = f.key[1:f.d - 1]
+"""
+
+ORACLES["op13_warc"] = r"""
+WITH p AS (SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS n, sha1(coalesce(html, '')) AS s FROM pages),
+g AS (SELECT s, n, max(page_id) AS first FROM p WHERE n >= 1000 GROUP BY s, n)
+SELECT page_id, n AS payload_bytes, s AS payload_digest,
+  CASE WHEN first <> page_id OR (page_id IS NULL AND first IS NOT NULL) THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN first <> page_id OR (page_id IS NULL AND first IS NOT NULL) THEN first END AS refers_to
+FROM p LEFT JOIN g USING (s, n)
+"""
