@@ -50,6 +50,7 @@ from .vectors import groups
 
 SMALL = 4096         # weight up to which a component is summed directly
 FOREST = 20_000      # rows of small components that a task sums at a time
+SALTS = 64           # tasks that search one component for its centroid
 IDS = 65_536         # ids in one chunk of an end list
 PARTS = [f"s{i}" for i in range(5)]
 ROOT = hashlib.md5(b"").digest()
@@ -202,7 +203,10 @@ def subtree_totals(nodes: DataFrame, members: DataFrame, values: list[str], smal
     while True:
         large = (state.groupBy("comp").agg(F.max("weight").alias("whole"), F.min("depth").alias("top"))
                  .where(F.col("whole") > small))
-        half = state.join(large, "comp").where(2 * F.col("weight") >= F.col("whole"))
+        # salted: a component that holds most nodes is searched by many tasks
+        salted = large.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        half = (state.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int"))
+                .join(salted, ["comp", "salt"]).where(2 * F.col("weight") >= F.col("whole")))
         centres = materialize(
             half.groupBy("comp").agg(F.max("top").alias("top"), F.max_by(
                 F.struct("node", "conv_id", "depth", "weight"), "depth").alias("c"))
