@@ -11,7 +11,12 @@ function of the summed weight and of the weight per word.
 The lexicon and the logistic coefficients are learned from labelled rows:
 counting terms is a Spark aggregate, and only the selected terms (at most
 ``max_terms``) reach the driver.  Labelled rows are a sample bounded by
-``max_train_rows``; scoring reads every row.
+``max_train_rows`` (20,000 ids by default, one row each: the smallest text);
+scoring reads every row.  Bounds of the lexicon, which hold for learning only:
+of more than ``max_terms`` selected terms (4,000) those of the smallest z are
+left out, and words of fewer than ``SHORTEST`` or more than ``LONGEST`` folded
+letters are no terms of their own, so a text whose only toxic words are of two
+letters, or are runs of over 40, is not caught by them.
 
 Defined cases: a null or empty text has no places and gets the score of an
 unmarked text; a null id is scored like any other (and never held out); rows
@@ -51,6 +56,7 @@ SEPARATORS = "\u00a0\u2009\u202f\u3000«»“”‘’„‚…–—¿¡·•"
 EXCEPTIONS = ("trash can", "trash bin", "trash bag", "clown fish", "class clown")
 
 STEMS = (4, 5, 6)
+SHORTEST, LONGEST = 3, 40
 TERM = "term string, half int, n bigint, toxic bigint"
 
 
@@ -129,10 +135,10 @@ class ToxicityModel:
 def _terms(folded: str) -> set[str]:
     out = set()
     for w in set(folded.split()):
-        if 3 <= len(w) <= 40:
+        if SHORTEST <= len(w) <= LONGEST:
             out.add(f" {w} ")
         for k in STEMS:
-            if k < len(w) <= 40:
+            if k < len(w) <= LONGEST:
                 out.add(f" {w[:k]}")
     return out
 
@@ -174,15 +180,15 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
     """Learn lexicon and coefficients from at most ``max_train_rows`` labelled rows.
 
     The sample is the labelled ids of smallest hash, so it is the same at
-    every run; being bounded it is broadcast to the documents and no text is
-    shuffled.  One half selects and weighs the terms; a term stays if the
+    every run; being bounded it is broadcast to the documents, and only
+    labelled texts are shuffled.  One half selects and weighs the terms; a term stays if the
     other half bears it out, and that half fits the coefficients.
     """
     chosen = (labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
               .groupBy(F.col(id_col).alias("_id")).agg(F.max(label_col).cast("int").alias("toxic"))
               .orderBy(F.xxhash64("_id"), "_id").limit(max_train_rows))
-    rows = (docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text"))
-            .join(F.broadcast(chosen), "_id")
+    rows = (docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+            .join(F.broadcast(chosen), "_id").groupBy("_id", "toxic").agg(F.min("text").alias("text"))
             .select("text", "toxic", F.pmod(F.xxhash64(F.col("_id"), F.lit(1)), F.lit(2)).cast("int").alias("half")))
     counts = rows.groupBy("half").agg(F.count("*").alias("n"), F.sum("toxic").alias("t")).collect()
     total, bad = sum(r["n"] for r in counts), sum(r["t"] or 0 for r in counts)
