@@ -4,8 +4,8 @@ A rule is a host and a path prefix.  The trie is keyed first by the host's
 labels from the right (``org``, ``example``, ...), then by whole path
 segments; the text after the rule path's last slash is a partial segment
 kept at its node.  A look-up walks the host once and, below every host node
-that carries rules, the path; the rule of most host labels and then of the
-longest path wins.  The trie is broadcast: its size is the rule list's,
+that carries rules, the path; the longest rule (host and path together) wins,
+of rules as long as each other that of the longer host.  The trie is broadcast: its size is the rule list's,
 which ``build`` bounds by ``max_rules``.
 
 Defined cases: a null url or one without ``://`` has an empty host and path
@@ -56,7 +56,9 @@ def match(root: dict, host: str, path: str) -> tuple[str, str] | None:
         if node is None:
             break
         if HERE in node:
-            best = _path(node[HERE], path) or best
+            found = _path(node[HERE], path)
+            if found and (best is None or len(found[1]) >= len(best[1])):
+                best = found
     return best
 
 
