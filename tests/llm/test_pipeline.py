@@ -79,3 +79,19 @@ def test_queries_equal_their_sql(spark, name):
     assert sorted(cols) == sorted(df.columns)
     want = sorted(map(str, res.fetchall()))
     assert sorted(str(tuple(r)) for r in df.select(*cols).collect()) == want
+
+
+def test_an_empty_corpus_and_clashing_columns(spark, corpus):
+    more = "document string, same_text string, component_id bigint, salt int, id string, blob string, found int, _id int, _text int"
+    docs = spark.read.parquet(f"{corpus}/documents.parquet")
+    names = [c.split()[0] for c in more.split(", ")]
+    odd = docs.withColumns({n: F.lit(7).cast(t.split()[1]) for n, t in zip(names, more.split(", "))})
+    for start in (docs.limit(0), odd):
+        now, plain = start, docs.limit(0) if start is not odd else docs
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            now, plain = stage(spark, now, corpus), stage(spark, plain, corpus)
+            assert now.columns == start.columns, name
+            assert sorted(map(repr, now.select(*docs.columns).collect())) == sorted(map(repr, plain.collect())), name
+        if start is odd:
+            assert now.select(*names).distinct().collect() == odd.select(*names).distinct().collect()
+    assert corpus_pipeline.pack_sequences(spark, docs.limit(0), corpus).count() == 0

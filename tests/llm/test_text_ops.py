@@ -43,6 +43,43 @@ def test_fit_learns_words_and_keeps_clean_documents(spark):
     assert not empty.lexicon and max(r["score"] for r in toxicity.score(docs, empty).collect()) < 0.5
 
 
+def _features_brute(text, lexicon, exceptions):
+    """Every lexicon term looked for at every position."""
+    folded = toxicity.fold(text)
+    best = {}
+    for at in range(len(folded)):
+        weights = [w for t, w in lexicon.items() if folded.startswith(t, at) and w > 0]
+        if weights:
+            best[at] = max(weights)
+    for phrase in map(toxicity.fold, exceptions):
+        for at in range(len(folded)):
+            if phrase not in lexicon and folded.startswith(phrase, at):
+                best = {s: w for s, w in best.items() if not at <= s < at + len(phrase) - 1}
+    return sum(best.values()), len(best), len(folded.split())
+
+
+def test_matches_equal_a_plain_search():
+    import random
+    rng = random.Random(3)
+    words = ["trash", "tr@5h", "can", "class", "clown", "clowning", "m0r\u200bon", "idiot", "id", "fish", "a", "ТRASH", "b1n", "-"]
+    lexicon = {" trash ": 1.5, " tras": 0.7, " clow": 2.0, " clown ": 1.0, " ldlot ": 3.0, " can ": -1.0, " trash can ": 9.0}
+    for terms in (lexicon, {k: v for k, v in lexicon.items() if k != " trash can "}, {" a ": 0.25}, {}):
+        model = toxicity.ToxicityModel({toxicity.fold(k.strip()) if k.endswith(" ") else k: v for k, v in terms.items()})
+        for _ in range(400):
+            text = rng.choice([" ", "  ", ", "]).join(rng.choice(words) for _ in range(rng.randrange(30)))
+            got, want = model.features(text), _features_brute(text, model.lexicon, model.exceptions)
+            assert got[1:] == want[1:] or not model.lexicon
+            assert abs(got[0] - want[0]) < 1e-9
+
+
+def test_a_labelled_id_that_repeats_is_one_row(spark):
+    rows = [(i, f"plain words w{i} " + ("vile creature" if i % 5 == 0 else "nice day")) for i in range(300)]
+    labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(300)], "doc_id bigint, toxic int")
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    copies = docs.unionByName(docs.where("doc_id = 5").withColumn("text", F.explode(F.array(*[F.lit(f"z copy {j}") for j in range(50)]))))
+    assert toxicity.fit(copies, labels, min_z=4.0) == toxicity.fit(docs, labels, min_z=4.0)
+
+
 def test_toxicity_edges(nasty, nothing):
     model = toxicity.ToxicityModel({" word ": 1.0})
     out = toxicity.score(nasty, model)
@@ -118,6 +155,13 @@ def test_urls_equal_brute_force(spark, nasty):
     assert url_filter.judge(df.limit(0), []).count() == 0
 
 
+def test_the_longest_rule_wins_over_the_longer_host():
+    trie = url_filter.build([("block", "org/abcdefghijkl"), ("allow", "x.org/abc"), ("block", "y.x.org/"), ("allow", "org/abcde")])
+    assert url_filter.match(trie, "y.x.org", "/abcdefghijkl") == ("block", "org/abcdefghijkl")
+    assert url_filter.match(trie, "y.x.org", "/abcde") == ("allow", "x.org/abc")       # nine characters as org/abcde
+    assert url_filter.match(trie, "z.org", "/abcde/" + "f" * 100_000) == ("allow", "org/abcde")
+
+
 # ---- secrets -------------------------------------------------------------------------------
 
 def _secret_brute(text):
