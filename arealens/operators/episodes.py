@@ -50,9 +50,12 @@ def semi_stay(episodes: DataFrame, qualifies: Column, stay_keys=("link_no", "cis
 def stay_collapse(episodes: DataFrame, stay_keys=("link_no", "cis_marker"),
                   order_cols=("admission_date", "discharge_date", "uri"),
                   first_cols=("age", "sex_grp", "pc7"), last_col: str = "discharge_date",
-                  stay_year: str = "fin_last_discharge") -> DataFrame:
+                  stay_year: str = "fin_last_discharge", qualifies: Column | None = None) -> DataFrame:
     """One row per stay: first attributes in episode order, last discharge, stay year.
 
+    ``qualifies`` keeps the stays of which at least one episode qualifies, in
+    the same aggregate (:func:`semi_stay` returns their episodes instead).
+
     ``stay_year``: ``fin_last_discharge`` (financial year of the last
     discharge), ``cal_last_discharge``, ``fin_first_admission``.
     """
@@ -60,7 +63,11 @@ def stay_collapse(episodes: DataFrame, stay_keys=("link_no", "cis_marker"),
     aggs = [F.min_by(F.struct(*[F.col(c) for c in first_cols]), order).alias("_first"),
             F.max_by(F.col(last_col), order).alias("last_discharge"),
             F.min_by(F.col(order_cols[0]), order).alias("first_admission")]
+    if qualifies is not None:
+        aggs.append(F.bool_or(qualifies).alias("_qualifies"))
     out = episodes.groupBy(*stay_keys).agg(*aggs)
+    if qualifies is not None:
+        out = out.where("_qualifies")
     out = out.select(*stay_keys, *[F.col(f"_first.{c}").alias(c) for c in first_cols],
                      "first_admission", "last_discharge")
     year = {"fin_last_discharge": fin_year("last_discharge"),
@@ -134,6 +141,30 @@ def washout_incidence(stays: DataFrame, person: str = "link_no", admission: str
     return prev.withColumn("new_case", F.col(f"prev_{discharge}").isNull() | (gap >= washout))
 
 
+def incidence(stays: DataFrame, deaths: DataFrame | None = None, person: str = "link_no",
+              admission: str = "admission_date", discharge: str = "discharge_date", order_cols=("cis_marker",),
+              washout_days: int = 3650, age: str = "age", older_than: int | None = 15, year: str = "year",
+              after_year: int | None = 2001) -> DataFrame:
+    """First admissions, or deaths, of people without a discharge in the ``washout_days`` before.
+
+    ``deaths`` (the columns of ``stays`` without the discharge) are appended
+    as stays of no length.  The gap runs from the latest of all earlier
+    discharges, which a long stay that began earlier may hold, not from that
+    of the previous row (:func:`washout_incidence` does that).  People of
+    ``older_than`` years or less leave before the gaps are taken, rows of
+    years up to ``after_year`` afterwards, as in the reference.
+    """
+    rows = stays
+    if deaths is not None:
+        rows = rows.unionByName(deaths.withColumn(discharge, F.col(admission)), allowMissingColumns=True)
+    if older_than is not None:
+        rows = rows.where(F.col(age) > older_than)
+    rows = sequence.running_values(rows, [person], [admission, *order_cols], {"earlier_discharge": ("max", F.col(discharge))})
+    gap = F.datediff(F.col(admission), F.col("earlier_discharge"))
+    fresh = rows.where(F.col("earlier_discharge").isNull() | (gap >= washout_days))
+    return fresh if after_year is None else fresh.where(F.col(year) > after_year)
+
+
 def multi_admission(stays: DataFrame, area_cols, person: str = "link_no", year_col: str = "year",
                     order_cols=("admission_date", "cis_marker"), attrs=("sex_grp", "age"),
                     old_age: int = 65, min_admissions: int = 2) -> DataFrame:

@@ -82,6 +82,44 @@ def recode_area(df: DataFrame, history: DataFrame, code_col: str = "code") -> Da
             .drop("_old", "_new"))
 
 
+def code_history_closure(history: DataFrame, hops: int = 5) -> tuple[DataFrame, DataFrame]:
+    """Chains of retired codes resolved to their last code: (old_code, new_code), and the codes on or behind a cycle.
+
+    Pointer jumping: each of ``hops`` self-joins of the (small) history doubles
+    how far a code points, so chains of up to ``2 ** hops`` codes are resolved.
+    A code that still points at a retired one then is on a cycle, or behind
+    one (or in a longer chain); such codes are returned apart (``code``) and
+    not in the first table, so a recode leaves them as they are.
+    """
+    old = history.select("old_code").distinct()
+    now = history.select("old_code", "new_code").distinct()
+    for _ in range(hops):
+        step = now.select(F.col("old_code").alias("new_code"), F.col("new_code").alias("_next"))
+        now = now.join(step, "new_code", "left").select("old_code", F.coalesce("_next", "new_code").alias("new_code"))
+    ends = old.withColumnRenamed("old_code", "new_code")
+    return now.join(ends, "new_code", "left_anti").select("old_code", "new_code"), now.join(
+        ends, "new_code", "left_semi").select(F.col("old_code").alias("code"))
+
+
+def area_closure(parents: DataFrame, child_col: str = "code", parent_col: str = "parent", depth: int = 4) -> DataFrame:
+    """(area, ancestor, distance) for every area named in ``parents``, itself at distance 0 included.
+
+    ``depth`` joins of the (small) parent table; an area reached on several
+    ways keeps the shortest.  A cycle ends with the depth.
+    """
+    edge = parents.where(F.col(child_col).isNotNull() & F.col(parent_col).isNotNull()).select(
+        F.col(child_col).alias("area"), F.col(parent_col).alias("ancestor")).distinct()
+    areas = edge.select("area").unionByName(edge.select(F.col("ancestor").alias("area"))).distinct()
+    out = areas.select("area", F.col("area").alias("ancestor"), F.lit(0).alias("distance"))
+    level = edge.withColumn("distance", F.lit(1))
+    up = edge.select(F.col("area").alias("ancestor"), F.col("ancestor").alias("_next"))
+    for d in range(1, depth + 1):
+        out = out.unionByName(level)
+        if d < depth:
+            level = level.join(up, "ancestor").select("area", F.col("_next").alias("ancestor"), F.lit(d + 1).alias("distance"))
+    return out.groupBy("area", "ancestor").agg(F.min("distance").alias("distance"))
+
+
 def name_to_code(df: DataFrame, aliases: DataFrame, name_col: str = "areaname",
                  code_col: str = "code") -> tuple[DataFrame, DataFrame]:
     """Area names (any listed spelling, case/space-insensitive) -> code.
@@ -125,15 +163,40 @@ def join_parent_area(df: DataFrame, parents: DataFrame, child_col: str, parent_c
     return out.withColumn(parent_col, F.coalesce(F.col(parent_col), F.lit(missing)))
 
 
-def incomplete_area_filter(df: DataFrame, exclusions: DataFrame, code_col: str = "code",
-                           year_col: str = "year") -> DataFrame:
+def incomplete_area_filter(df: DataFrame, exclusions: DataFrame, code_col: str = "code", year_col: str = "year",
+                           closure: DataFrame | None = None, first_year: int = 1980, last_year: int = 2060) -> DataFrame:
     """Remove (area, year) rows listed as incomplete in ``exclusions(code, year_from, year_to)``.
 
     Exclusions are expanded to one row per (code, year) so the anti join is an
-    equi-join (no range predicate, no nested loop).
+    equi-join (no range predicate, no nested loop); a null year is open and
+    reaches ``first_year`` or ``last_year``.  With ``closure``
+    (:func:`area_closure`) the areas under an excluded one leave too, in the
+    same anti join.
     """
-    ex = (exclusions.select(F.col("code").alias("_c"),
-                            F.explode(F.sequence(F.col("year_from").cast("int"),
-                                                 F.col("year_to").cast("int"))).alias("_y")))
+    years = F.sequence(F.coalesce(F.col("year_from").cast("int"), F.lit(first_year)),
+                       F.coalesce(F.col("year_to").cast("int"), F.lit(last_year)))
+    ex = exclusions.select(F.col("code").alias("_c"), F.explode(years).alias("_y"))
+    if closure is not None:
+        under = ex.join(closure.select(F.col("ancestor").alias("_c"), "area"), "_c").select(F.col("area").alias("_c"), "_y")
+        ex = ex.unionByName(under).distinct()
     return df.join(ex, (F.col(code_col) == F.col("_c")) & (F.col(year_col) == F.col("_y")),
                    "left_anti")
+
+
+def screen_small(df: DataFrame, above: dict[str, float], levels: dict[str, tuple[str, float]] | None = None,
+                 without=(), code_col: str = "code") -> DataFrame:
+    """Publication screens: rows whose measures exceed ``above``, at the levels wanted.
+
+    ``above`` maps a measure to what it must exceed everywhere; ``levels``
+    maps a code prefix to (measure, least value) for that level alone;
+    ``without`` lists code prefixes that are not published.  A null measure
+    does not exceed anything.
+    """
+    keep = F.lit(True)
+    for measure, bound in above.items():
+        keep = keep & (F.col(measure) > bound)
+    for prefix, (measure, least) in (levels or {}).items():
+        keep = keep & (~F.col(code_col).startswith(prefix) | (F.col(measure) >= least))
+    for prefix in without:
+        keep = keep & ~F.col(code_col).startswith(prefix)
+    return df.where(F.coalesce(keep, F.lit(False)))

@@ -11,18 +11,21 @@ from ..functions.dates import time_fix
 
 def rolling_mean(df: DataFrame, group_keys, time_agg: int,
                  cols=("numerator", "denominator"), required: str = "denominator",
-                 year_col: str = "year") -> DataFrame:
+                 year_col: str = "year", strict_years: bool = False) -> DataFrame:
     """Right-aligned mean over the last ``time_agg`` rows of each group.
 
     A window with fewer than ``time_agg`` rows, or with a null inside, is null
     (as RcppRoll's ``roll_meanr``); rows whose ``required`` mean is null are
     dropped, then the year moves to the centre of the window.  Rows, not
-    calendar years, are counted (a missing year stretches the period).  Each
+    calendar years, are counted (a missing year stretches the period); with
+    ``strict_years`` the frame is ``time_agg`` calendar years and a period that
+    misses one is null.  Each
     window partition is one area series - a few dozen years at most - so no
     partition can grow with the data.
     """
     tf = time_fix(time_agg)
-    w = Window.partitionBy(*group_keys).orderBy(year_col).rowsBetween(-(time_agg - 1), 0)
+    w = Window.partitionBy(*group_keys).orderBy(year_col)
+    w = w.rangeBetween(-(time_agg - 1), 0) if strict_years else w.rowsBetween(-(time_agg - 1), 0)
     out = df.withColumns({c: F.when(F.count(c).over(w) == time_agg, F.avg(c).over(w))
                           for c in cols if c in df.columns})
     if required in out.columns:

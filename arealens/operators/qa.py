@@ -6,7 +6,7 @@ are cheap and return tables instead of a rendered report.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions import stats as S
@@ -133,3 +133,17 @@ def qa_area_completeness(ind: DataFrame, expected_years: int) -> DataFrame:
 def qa_trend_slice(ind: DataFrame, codes) -> DataFrame:
     """Time series for chosen areas with the CI band."""
     return ind.where(F.col("code").isin(list(codes))).select("code", "year", "rate", "lowci", "upci")
+
+
+def observed(ind: DataFrame, name: str = "qa") -> tuple[DataFrame, Observation]:
+    """``ind`` with the counts of three checks gathered while it is written: rows, nulls by column
+    (:func:`qa_missing`) and rates outside their interval (:func:`qa_ci_contains`).
+
+    No check reads the result again; ``Observation.get`` has the numbers once
+    the one action that writes the frame is over.
+    """
+    seen = Observation(name)
+    counts = [F.count(F.lit(1)).alias("rows"),
+              F.count_if((F.col("rate") < F.col("lowci")) | (F.col("rate") > F.col("upci"))).alias("ci_error_total"),
+              *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in ind.columns]]
+    return ind.observe(seen, *counts), seen

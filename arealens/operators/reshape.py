@@ -48,3 +48,14 @@ def first_per_group(df: DataFrame, keys, order_cols, cols) -> DataFrame:
     order = F.struct(*[F.col(c) for c in order_cols])
     out = df.groupBy(*keys).agg(F.min_by(F.struct(*cols), order).alias("_f"))
     return out.select(*keys, *[F.col(f"_f.{c}").alias(c) for c in cols])
+
+
+def match_slices(df: DataFrame, slices: DataFrame, keys, default: str = "All") -> DataFrame:
+    """Every row of ``df`` with every slice it belongs to, in one join.
+
+    ``slices`` holds one row per slice: its own columns and, for each key, the
+    value it takes; a null value means ``default``, the pooled category.
+    Slices may share rows (two indicators over the same category).
+    """
+    wanted = slices.withColumns({k: F.coalesce(F.col(k), F.lit(default)) for k in keys})
+    return df.join(wanted, list(keys))

@@ -105,6 +105,39 @@ def previous_values(df: DataFrame, keys, order_cols, value_cols, prefix: str = "
     return out.drop(PID, "_seq_first", "_seq_carry", *[f"_k_{c}" for c in [PID, *keys]])
 
 
+#: Associative functions a running value can carry: (aggregate, merge of two values, nulls ignored).
+FOLDS = {"max": (F.max, F.greatest), "min": (F.min, F.least), "sum": (F.sum, lambda a, b: F.coalesce(a + b, a, b)),
+         "any": (F.bool_or, lambda a, b: F.coalesce(a | b, a, b)), "all": (F.bool_and, lambda a, b: F.coalesce(a & b, a, b))}
+
+
+def running_values(df: DataFrame, keys, order_cols, values: dict[str, tuple[str, Column]],
+                   inclusive: bool = False, num_partitions: int | None = None) -> DataFrame:
+    """Running fold of the rows before each row (with it, if ``inclusive``), without a per-key task.
+
+    ``values`` maps output column -> (name in :data:`FOLDS`, expression); null
+    where no value stands before.  Rows are taken one by one in ``order_cols``
+    order, which should be unique within a key.  A partition's rows fold
+    locally; what it inherits is the fold of the key's earlier segments, which
+    any associative function allows.
+    """
+    keys, order_cols = list(keys), list(order_cols)
+    base = df.select("*", *[e.alias(f"_v_{o}") for o, (_, e) in values.items()])
+    r = _ranged(base, keys, order_cols, num_partitions)
+    w = (Window.partitionBy(PID, *keys).orderBy(*order_cols)
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow if inclusive else -1))
+    local = r.select("*", *[FOLDS[f][0](f"_v_{o}").over(w).alias(f"_l_{o}") for o, (f, _) in values.items()])
+    seg = r.groupBy(PID, *keys).agg(*[FOLDS[f][0](f"_v_{o}").alias(f"_t_{o}") for o, (f, _) in values.items()])
+    wk = ((Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))).orderBy(PID)
+          .rowsBetween(Window.unboundedPreceding, -1))
+    seg = seg.select(*[F.col(c).alias(f"_k_{c}") for c in [PID, *keys]],
+                     *[FOLDS[f][0](f"_t_{o}").over(wk).alias(f"_c_{o}") for o, (f, _) in values.items()])
+    out = local.join(seg, _on(local, seg, [PID, *keys]), "left")
+    for o, (f, _) in values.items():
+        out = out.withColumn(o, FOLDS[f][1](F.col(f"_l_{o}"), F.col(f"_c_{o}")))
+    drop = [PID, *[f"_k_{c}" for c in [PID, *keys]]] + [f"_{p}_{o}" for o in values for p in ("v", "l", "c")]
+    return out.drop(*drop)
+
+
 def global_rank(df: DataFrame, order_cols, out_col: str = "rank",
                 num_partitions: int | None = None) -> DataFrame:
     """``row_number() over (order by order_cols)``, never in a single task."""

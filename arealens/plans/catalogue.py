@@ -190,17 +190,24 @@ class CatalogueEntry:
     hscp: bool
     pop: str | None
 
-    def to_spec(self, yearstart: int | None = None, yearend: int | None = None) -> IndicatorSpec:
-        """An :class:`IndicatorSpec`; runs whose years come from their input take them as arguments."""
+    def to_spec(self, yearstart: int | None = None, yearend: int | None = None, geography: str | None = None) -> IndicatorSpec:
+        """An :class:`IndicatorSpec`; runs whose years or geography come from their input take them as arguments.
+
+        An inequality run starts from datazones; any other run without a
+        geography is an error.
+        """
         start = self.yearstart if self.yearstart is not None else yearstart
         end = self.yearend if self.yearend is not None else yearend
         if start is None or end is None:
             raise ValueError(f"{self.dataset}: years not in the catalogue; pass yearstart/yearend")
         if self.time_agg is None:
             raise ValueError(f"{self.dataset}: no rolling period")
+        where = self.geography or geography or ("datazone11" if self.stage == "deprivation" else None)
+        if where is None:
+            raise ValueError(f"{self.dataset}: geography not in the catalogue; pass geography")
         return IndicatorSpec(ind_id=self.ind_id or 0, measure=self.measure, time_agg=int(self.time_agg),
                              yearstart=int(start), yearend=int(end), year_type=self.year_type,
-                             geography=self.geography or "datazone11",
+                             geography=where,
                              epop_age=self.epop_age, epop_total=self.epop_total,
                              crude_rate=self.crude_rate, adp=self.adp, hscp=self.hscp)
 
@@ -209,12 +216,12 @@ def entries() -> list[CatalogueEntry]:
     return [CatalogueEntry(*r) for r in RUNS]
 
 
-def validate(yearstart: int = 2002, yearend: int = 2019) -> dict[str, str]:
-    """dataset/stage -> error for every row that cannot run as written."""
+def validate(yearstart: int = 2002, yearend: int = 2019, geography: str | None = "all") -> dict[str, str]:
+    """dataset/stage -> error for every row that cannot run as written, its open years and geography given."""
     errors = {}
     for e in entries():
         try:
-            e.to_spec(yearstart, yearend)
+            e.to_spec(yearstart, yearend, geography)
         except ValueError as exc:
             errors[f"{e.dataset}/{e.stage}/{e.ind_id}"] = str(exc)
     return errors

@@ -66,7 +66,7 @@ def formatted(prepared: DataFrame, spec: IndicatorSpec, lookup: DataFrame, base_
         out = rolled.where(F.col("year").between(spec.yearstart, spec.yearend))
         out = out.withColumn("numerator", F.coalesce(F.col("numerator"), F.lit(0.0)))
         out = G.level_filter(out, adp=spec.adp, hscp=hscp_filter)
-    out = P.rolling_mean(out, ["code", *strata, *extra_keys], spec.time_agg)
+    out = P.rolling_mean(out, ["code", *strata, *extra_keys], spec.time_agg, strict_years=spec.strict_years)
     if std and population is not None:
         out = R.add_epop(out, spec.epop_age)
     return out

@@ -252,16 +252,15 @@ def _episode_rates_sql() -> str:
 def q_episode_rates(spark, d):
     """Stays with any qualifying diagnosis -> council counts -> crude rate per 100,000.
 
-    One plan from the episode scan to the published rows: a semi join keeps
-    whole stays, one aggregate collapses them, a join places them, one
+    One plan from one episode scan to the published rows: an aggregate
+    collapses the stays and keeps those that qualify, a join places them, one
     roll-up reaches every level, and the population join and rates follow.
     """
     from .indicator import run_indicator
     from .spec import IndicatorSpec
 
     ep = FX.fx_episode_wide(spark, d)
-    kept = E.semi_stay(ep, E.diag_match(DIAG_COLS, "F10|K25"))
-    stays = E.stay_collapse(kept, stay_year="cal_last_discharge")
+    stays = E.stay_collapse(ep, stay_year="cal_last_discharge", qualifies=E.diag_match(DIAG_COLS, "F10|K25"))
     placed = stays.join(FX.fx_postcode(spark, d).select("pc7", "ca"), "pc7", "inner")
     prepared = E.event_count(placed, ["year", "ca"])
     spec = IndicatorSpec(ind_id=99401, measure="crude", time_agg=1, yearstart=2020, yearend=2030,

@@ -20,16 +20,18 @@ CHECK_CODES = ["S00000001", "S08000001", "S12000010"]
 RECONCILE = ["S08000002", "S12000002", "S12000012"]
 
 
+def _lazy(spark, d):
+    """The published result, as a plan: for checks that read it once."""
+    return run_indicator(FX.fx_prepared(spark, d), PCT1, FX.fx_area(spark, d), "datazone", LEVELS)
+
+
 def _new(spark, d):
-    """The published result QA reads: written once to the shared folder, then checked from there
-    (each check references it several times; the small written copy is read instead of the plan)."""
-    return materialize(run_indicator(FX.fx_prepared(spark, d), PCT1, FX.fx_area(spark, d), "datazone",
-                                     LEVELS), "qa-new")
+    """The published result written once to the shared folder: for checks that read it several times."""
+    return materialize(_lazy(spark, d), "qa-new")
 
 
 def _old(spark, d):
-    return materialize(run_indicator(FX.fx_prepared(spark, d, exclude_status="P"), PCT1, FX.fx_area(spark, d),
-                                     "datazone", LEVELS), "qa-old")
+    return run_indicator(FX.fx_prepared(spark, d, exclude_status="P"), PCT1, FX.fx_area(spark, d), "datazone", LEVELS)
 
 
 def _ind_ctes(name: str, where: str = "") -> list[tuple[str, str]]:
@@ -64,13 +66,13 @@ _OK = " AND ".join(f"({g} = 0 OR {g} = {EXPECTED_AREAS[g]})" for g in Q.GEO_TYPE
                                       f"(SELECT year AS y, {_GEO} FROM new GROUP BY year) t, "
                                       "LATERAL (SELECT t.y AS year)".replace("SELECT year, *", "SELECT year, S00, S08, S12, S11, S37, S02")))
 def q_qa_geo_coverage(spark, d):
-    return Q.qa_geo_coverage(_new(spark, d))
+    return Q.qa_geo_coverage(_lazy(spark, d))
 
 
 @register("qa_row_delta", sql=_sql("SELECT (SELECT count(*) FROM new) AS new_rows, (SELECT count(*) FROM old) AS old_rows, "
                                    "(SELECT count(*) FROM new) - (SELECT count(*) FROM old) AS rows_added", old=True))
 def q_qa_row_delta(spark, d):
-    return Q.qa_row_delta(_new(spark, d), _old(spark, d))
+    return Q.qa_row_delta(_lazy(spark, d), _old(spark, d))
 
 
 _MERGE_COLS = ["numerator", "rate", "lowci", "upci"]
@@ -80,7 +82,7 @@ _MERGE_SEL = ", ".join(f"{O.r6(f'n.{c}', f'{c}_new')}, {O.r6(f'o.{c}', f'{c}_old
 @register("merge_versions", sql=_sql(f"SELECT n.code, n.year, {_MERGE_SEL} FROM new n JOIN old o "
                                      "ON n.code = o.code AND n.year = o.year", old=True))
 def q_merge_versions(spark, d):
-    return present(Q.merge_versions(_new(spark, d), _old(spark, d)))
+    return present(Q.merge_versions(_lazy(spark, d), _old(spark, d)))
 
 
 _CODES = ", ".join(f"'{c}'" for c in CHECK_CODES)
@@ -90,12 +92,12 @@ _MATCH = ", ".join(f"round_even((n.{c} - o.{c}) / nullif(n.{c}, 0), 3) AS {c}_ma
 @register("qa_compare_old", sql=_sql(f"SELECT n.code, n.year, {_MERGE_SEL}, {_MATCH} FROM new n JOIN old o "
                                      f"ON n.code = o.code AND n.year = o.year WHERE n.code IN ({_CODES})", old=True))
 def q_qa_compare_old(spark, d):
-    return present(Q.qa_compare_old(_new(spark, d), _old(spark, d), CHECK_CODES))
+    return present(Q.qa_compare_old(_lazy(spark, d), _old(spark, d), CHECK_CODES))
 
 
 @register("qa_ci_contains", sql=_sql("SELECT count(*) FILTER (WHERE rate < lowci OR rate > upci) AS ci_error_total FROM new"))
 def q_qa_ci_contains(spark, d):
-    return Q.qa_ci_contains(_new(spark, d))
+    return Q.qa_ci_contains(_lazy(spark, d))
 
 
 @register("qa_scot_vs_boards", sql=_sql(
@@ -119,7 +121,7 @@ def _rec_sql():
 
 @register("qa_area_reconcile", sql=_rec_sql())
 def q_qa_area_reconcile(spark, d):
-    return present(Q.qa_area_reconcile(_new(spark, d), RECONCILE))
+    return present(Q.qa_area_reconcile(_lazy(spark, d), RECONCILE))
 
 
 @register("qa_small_numbers", sql=_sql(
@@ -128,7 +130,7 @@ def q_qa_area_reconcile(spark, d):
     "round(CAST(count(*) FILTER (WHERE numerator < 20) AS DOUBLE) / count(*), 6) AS small_share "
     "FROM new GROUP BY 1, 2) WHERE small_share > 0.2"))
 def q_qa_small_numbers(spark, d):
-    return present(Q.qa_small_numbers(_new(spark, d), below=20, share=0.2))
+    return present(Q.qa_small_numbers(_lazy(spark, d), below=20, share=0.2))
 
 
 _NULLS = ", ".join(f"count(*) FILTER (WHERE {c} IS NULL) AS null_{c}" for c in Q.CONTRACT)
@@ -136,7 +138,7 @@ _NULLS = ", ".join(f"count(*) FILTER (WHERE {c} IS NULL) AS null_{c}" for c in Q
 
 @register("qa_missing", sql=_sql(f"SELECT {_NULLS}, true AS columns_ok FROM new"))
 def q_qa_missing(spark, d):
-    return Q.qa_missing(_new(spark, d))
+    return Q.qa_missing(_lazy(spark, d))
 
 
 @register("qa_level_totals", sql=_sql(
@@ -144,7 +146,7 @@ def q_qa_missing(spark, d):
     + O.r6("sum(CASE WHEN starts_with(code, 'S08') THEN numerator END)", "boards") + ", "
     + O.r6("sum(CASE WHEN starts_with(code, 'S12') THEN numerator END)", "councils") + " FROM new GROUP BY year"))
 def q_qa_level_totals(spark, d):
-    return present(Q.qa_level_totals(_new(spark, d)))
+    return present(Q.qa_level_totals(_lazy(spark, d)))
 
 
 @register("qa_child_parent", sql=_sql(
@@ -168,7 +170,7 @@ _CAT = [(99006, "financial", 1995, 2001), (99001, "calendar", 1995, 2001)]
     "ON s.ind_id = c.ind_id", ("cat", values_sql(_CAT, ["ind_id", "year_type", "yearstart", "yearend"]))))
 def q_qa_metadata(spark, d):
     cat = spark.createDataFrame(_CAT, "ind_id int, year_type string, yearstart int, yearend int")
-    return present(Q.qa_metadata(_new(spark, d), cat))
+    return present(Q.qa_metadata(_lazy(spark, d), cat))
 
 
 def _flag_sql() -> str:
@@ -186,7 +188,7 @@ def q_qa_area_completeness(spark, d):
 @register("qa_trend_slice", sql=_sql("SELECT code, year, " + ", ".join(O.r6(c, c) for c in ("rate", "lowci", "upci"))
                                      + f" FROM new WHERE code IN ({_CODES})"))
 def q_qa_trend_slice(spark, d):
-    return present(Q.qa_trend_slice(_new(spark, d), CHECK_CODES))
+    return present(Q.qa_trend_slice(_lazy(spark, d), CHECK_CODES))
 
 
 @register("latest_year", sql=_sql("SELECT code, ind_id, year, " + ", ".join(O.r6(c, c) for c in ("numerator", "rate", "lowci", "upci"))

@@ -35,6 +35,7 @@ class IndicatorSpec:
     adp: bool = False
     hscp: bool = False
     legacy_five_year_labels: bool = False
+    strict_years: bool = False      # periods of calendar years instead of rows (quirk Q7)
     filters: dict = field(default_factory=dict)
 
     def __post_init__(self):

@@ -6,6 +6,7 @@ pushes them into the parquet reader (ReadSchema / PushedFilters).
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -82,3 +83,46 @@ def union_all(frames, allow_missing: bool = False) -> DataFrame:
 def stack_with_source(frames: dict[str, DataFrame], label: str = "source") -> DataFrame:
     """Union of several extracts, each tagged with a literal column."""
     return union_all([df.withColumn(label, F.lit(name)) for name, df in frames.items()])
+
+
+def read_tagged(spark: SparkSession, paths: list[str], pattern: str, tag: str = "year", kind: str = "int",
+                schema: str | None = None) -> DataFrame:
+    """Several files (or folders) as one scan, each row tagged from the path of its file.
+
+    ``pattern``'s first group is the tag.  Files may have more or fewer
+    columns than others: ``mergeSchema`` unites them and missing ones are null
+    (or pass the ``schema`` and no footer is read for it).
+    """
+    reader = spark.read.schema(schema) if schema else spark.read.option("mergeSchema", True)
+    df = reader.parquet(*paths)
+    return df.withColumn(tag, F.regexp_extract(F.col("_metadata.file_path"), pattern, 1).try_cast(kind))
+
+
+def split_predicates(df: DataFrame, key: str, parts: int, accuracy: int = 10_000) -> list[str]:
+    """SQL predicates that cut a table into disjoint ranges of ``key`` which hold every row, nulls too.
+
+    The cuts are approximate quantiles, so the ranges are about as large as
+    each other whatever the key's distribution; equal quantiles (a key that
+    very many rows share) fall together.  The key is a number, date or
+    timestamp, as for any partitioned warehouse read.  The list is what a partitioned
+    warehouse read takes as its predicates: one task for each.
+    """
+    shares = [i / parts for i in range(1, parts)]
+    kind = df.schema[key].dataType.simpleString()
+    if not re.match("tinyint|smallint|int|bigint|float|double|decimal|date|timestamp", kind):
+        raise TypeError(f"{key} is {kind}; a read is split on a number, date or timestamp")
+    value = F.when(~F.isnan(key), F.col(key)) if kind in ("float", "double") else F.col(key)   # NaN is above every cut
+    cuts = df.select(F.percentile_approx(value, F.array(*[F.lit(s) for s in shares]), F.lit(accuracy))
+                     .cast("array<string>")).first()[0] if shares else []
+    cuts = list(dict.fromkeys(c for c in cuts or [] if c is not None))
+    literal = [f"CAST('{c}' AS {kind})" for c in cuts]
+    if not literal:
+        return [f"{key} IS NOT NULL", f"{key} IS NULL"]
+    ranges = [f"{key} <= {literal[0]}"]
+    ranges += [f"{key} > {a} AND {key} <= {b}" for a, b in zip(literal, literal[1:])]
+    return [*ranges, f"{key} > {literal[-1]}", f"{key} IS NULL"]
+
+
+def read_split(spark: SparkSession, url: str, table: str, predicates: list[str], properties: dict | None = None) -> DataFrame:
+    """Parallel extract from a warehouse table, one task for each predicate of :func:`split_predicates`."""
+    return spark.read.jdbc(url, table, predicates=predicates, properties=properties or {})

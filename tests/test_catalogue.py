@@ -11,7 +11,17 @@ def test_catalogue_rows_become_specs():
 
 
 def test_epop_total_mismatch_is_reported():
-    warn = [e.to_spec().epop_warning() for e in C.entries()
+    warn = [e.to_spec(geography="all").epop_warning() for e in C.entries()
             if e.measure == "stdrate" and e.stage == "second" and e.yearstart is not None]
     # e.g. a 16+ total used with all-age weights (quirk Q13) or an age-restricted population
     assert any(w for w in warn)
+
+
+def test_a_row_without_geography_is_an_error():
+    import pytest
+
+    row = next(e for e in C.entries() if e.stage == "second" and e.geography is None)
+    with pytest.raises(ValueError, match="geography"):
+        row.to_spec(2002, 2019)
+    assert row.to_spec(2002, 2019, "council").geography == "council"
+    assert all(e.to_spec(2002, 2019).geography == "datazone11" for e in C.entries() if e.stage == "deprivation")
