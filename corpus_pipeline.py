@@ -41,9 +41,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     # rows of one id with unlike texts are separate documents; texts without words are alike
     words = F.translate(F.coalesce("text", F.lit("")), " \t\n\r\x0b\x0c", "") != ""
-    hashed = F.when(words, F.xxhash64("text")).otherwise(F.lit(0).cast("bigint")).alias("same_text")
-    document = F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", hashed))
-    slim = docs.select("doc_id", "text", hashed, document.alias("document"))
+    hashed = F.when(words, F.xxhash64("text")).otherwise(F.lit(0).cast("bigint"))
+    document = lambda of: F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", of))
+    slim = docs.select("doc_id", "text", hashed.alias("same_text")).withColumn("document", document("same_text"))
     marks = materialize(minhash.near_duplicates(slim, id_col="document", shingle=5, percent=80).select(
         F.col("doc_id").alias("document"), "component_id").where(F.col("document").isNotNull()), "marks")
     # the members of every group, and its document of smallest id
@@ -61,7 +61,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
             .select("document"))
     again = marks.groupBy("document").agg(F.count("*").alias("n")).where("n > 1").select("document")
     name, text = fresh_name(docs, "document"), fresh_name(docs, "same_text")
-    kept = docs.withColumns({text: hashed, name: document}).join(gone.withColumnRenamed("document", name), name, "left_anti")
+    kept = docs.withColumn(text, hashed).withColumn(name, document(text)).join(gone.withColumnRenamed("document", name), name, "left_anti")
     again = again.withColumnRenamed("document", name)
     # the few documents with several rows: one row stays, the same in every run
     row = F.struct(*[F.col(c) for c in docs.columns])
