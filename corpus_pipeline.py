@@ -46,9 +46,10 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     slim = docs.select("doc_id", "text", hashed.alias("same_text")).withColumn("document", document("same_text"))
     marks = materialize(minhash.near_duplicates(slim, id_col="document", shingle=5, percent=80).select(
         F.col("doc_id").alias("document"), "component_id").where(F.col("document").isNotNull()), "marks")
-    # the members of every group, and its document of smallest id
-    tied = marks.where("document != component_id").select("component_id").distinct()
-    members = marks.join(tied, "component_id", "left_semi").select("document", "component_id").distinct()
+    # the members of every group: the documents tied to another one, and those they are tied to
+    tied = marks.where("document != component_id").select("document", "component_id")
+    members = tied.unionByName(tied.select(F.col("component_id").alias("document"), "component_id")).distinct()
+    # and its document of smallest id
     key = F.struct("doc_id", "same_text")
     grouped = slim.drop("text").join(members, "document").distinct()
     first = grouped.groupBy("component_id").agg(F.min(key).alias("first"))
