@@ -7,3 +7,4 @@ from . import q_qa  # noqa: F401
 from . import q_ingest  # noqa: F401
 from . import q_attr  # noqa: F401
 from . import q_flows  # noqa: F401
+from . import q_geography  # noqa: F401

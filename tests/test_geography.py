@@ -28,3 +28,22 @@ def test_incomplete_area_filter_by_year_range(spark):
     ex = spark.createDataFrame([("A", 2001, 2003)], "code string, year_from int, year_to int")
     kept = sorted((r["code"], r["year"]) for r in G.incomplete_area_filter(df, ex).collect())
     assert kept == [("A", 2000), ("A", 2004), ("B", 2001)]
+
+
+def test_council_runs_drop_the_partnerships_not_asked_for(spark):
+    from arealens.plans.indicator import run_indicator
+    from arealens.plans.q_geography import COUNCIL_LEVELS, WITH_ADP, WITH_HSCP
+
+    lookup = spark.createDataFrame([("S12000010", "S08000001", "S11000051", "S37000001"), ("S12000019", "S08000001", "S11000051", "S37000002"),
+                                    ("S12000099", "S08000002", None, "S37000002")], "ca string, hb string, adp string, hscp string")
+    prepared = spark.createDataFrame([(ca, y, float(n)) for y in range(1995, 2002) for ca, n in (("S12000010", 1), ("S12000019", 2), ("S12000099", 4))],
+                                     "ca string, year int, numerator double")
+    codes = ["S12000010", "S12000019", "S12000099", "S08000001", "S08000002", "S11000051", "S37000001", "S37000002", "S00000001"]
+    people = spark.createDataFrame([(c, y, 100.0) for c in codes for y in range(1995, 2002)], "code string, year int, denominator double")
+    got = {}
+    for spec in (WITH_ADP, WITH_HSCP):
+        run = run_indicator(prepared, spec, lookup, "ca", COUNCIL_LEVELS, population=people)
+        got[spec.ind_id] = {r["code"]: r["numerator"] for r in run.where("year = 1998").collect()}
+    assert got[99602] == {"S12000010": 1, "S12000019": 2, "S12000099": 4, "S08000001": 3, "S08000002": 4, "S11000051": 3, "S00000001": 7}
+    assert got[99603] == {"S12000010": 1, "S12000019": 2, "S12000099": 4, "S08000001": 3, "S08000002": 4, "S37000001": 1, "S37000002": 6,
+                          "S00000001": 7}
