@@ -174,7 +174,7 @@ class Encoder(dict):
             if piece.isalpha():
                 got = self.encode_word(" " + piece)
             elif piece[:-1].isalpha() and piece[-1] in ".,;:!?":
-                got = self[piece[:-1]] + self._words(piece[-1])
+                got = self[piece[:-1]] + (self.marks.get(piece[-1]) or self._words(piece[-1]))
             else:
                 got = self._words(" " + piece)
         if len(self) >= MAX_PIECES:

@@ -27,6 +27,7 @@ table gives no piece.  Only the id and the text column are read.
 from __future__ import annotations
 
 import json
+import struct
 import zlib
 from bisect import bisect_left
 
@@ -215,7 +216,8 @@ def fast_words(text: str):
         raw = word.encode()
         if raw in known:
             return single(raw).to_bytes(4, "little")
-        return np.array(made.encode_ordinary(word), "<u4").tobytes()
+        got = made.encode_ordinary(word)
+        return struct.pack(f"<{len(got)}I", *got)
 
     return encode
 
