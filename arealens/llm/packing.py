@@ -202,8 +202,15 @@ class Packer:
 
 
 def fast_words(text: str):
-    """The tokenizers file's merges as a compiled encoder of single words."""
-    v = json.loads(text)["model"]["vocab"]
+    """The tokenizers file's merges as a compiled encoder of single words.
+
+    It takes ids for merge ranks, so None if the merges are not in the order of the ids they make.
+    """
+    model = json.loads(text)["model"]
+    v = model["vocab"]
+    made_ids = [v["".join(m.split(" ") if isinstance(m, str) else m)] for m in model["merges"]]
+    if any(a >= b for a, b in zip(made_ids, made_ids[1:])):
+        return None
     from .bpe import byte_letters
 
     letters = byte_letters()

@@ -1,8 +1,10 @@
 """Text operators against brute force, and their edge cases."""
 
+import json
 import re
 import zlib
 from collections import defaultdict
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -263,6 +265,22 @@ def _packed(lengths, tiers):
     return list(sequences.values()), groups
 
 
+def test_packing_takes_a_file_whose_merges_are_out_of_id_order():
+    with open(tokenizer_path(), encoding="utf-8") as f:
+        spec = json.load(f)
+    vocab, fixed = spec["model"]["vocab"], {t["id"] for t in spec["added_tokens"]}
+    ids = sorted(i for i in vocab.values() if i not in fixed)
+    swapped = dict(zip(ids, reversed(ids)))
+    spec["model"]["vocab"] = {t: swapped.get(i, i) for t, i in vocab.items()}
+    text = json.dumps(spec)
+    assert packing.fast_words(text) is None
+    encoder = packing.encoder_of(SimpleNamespace(value=text))
+    library = tokenizers.Tokenizer.from_str(text)
+    for t in TEXTS:
+        want = library.encode(t, add_special_tokens=False).ids
+        assert encoder.encode(t) == b"".join(i.to_bytes(4, "little") for i in want), t
+
+
 def test_packing_tiers_pack_their_own_windows():
     lengths = [(i * 37) % 100 + 1 for i in range(600)] + [(i * 53) % 300 + 1 for i in range(200)] + [900] * 20
     sequences, groups = _packed(lengths, (1024, 512, 256, 128))
