@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import discard, materialize
 from .base import slices
 from .components import connected_components
 
@@ -231,6 +231,8 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
                .select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))
     whole = connected_components(found.select(F.col("node").alias("a"), F.col("component").alias("b"))
                                  .unionByName(more).unionByName(same_id), "a", "b")
+    for copy in (members, sigs, sets, linked, parted):   # the components are written, nothing reads these again
+        discard(copy)
 
     final = classes.join(whole, F.col("rep") == F.col("node"), "left").select(
         "set_key", F.coalesce("component", "rep").alias("class_id"))
