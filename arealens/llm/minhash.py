@@ -42,7 +42,8 @@ from .components import connected_components
 BANDS, ROWS, HASHES, BITS = 30, 5, 1024, 2
 MARGIN = 0.06
 PIVOTS = 3
-MAX_WORDS = 300_000   # word hashes a worker remembers
+MAX_WORDS = 60_000   # word hashes a worker remembers
+CHUNK = 256           # shingles hashed at a time, so that their products stay in the processor's cache
 
 
 class _Words(dict):
@@ -85,8 +86,8 @@ class Signer:
     def minima(self, keys: np.ndarray) -> np.ndarray:
         x = (keys >> np.uint64(32)).astype(np.uint32)
         low = np.full(len(self.a), 0xFFFFFFFF, np.uint32)
-        for i in range(0, len(x), 2048):
-            part = self.a[:, None] * x[None, i:i + 2048] + self.b[:, None]
+        for i in range(0, len(x), CHUNK):
+            part = self.a[:, None] * x[None, i:i + CHUNK] + self.b[:, None]
             np.minimum(low, part.min(axis=1), out=low)
         return low
 
