@@ -40,7 +40,7 @@ WS = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 WORDS = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{WS}\p{{L}}\p{{N}}]+|[{WS}]+(?![^{WS}])|[{WS}]+")
 LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 MIXED_SPACE = re.compile(r"\s\s")
-MAX_PIECES = 300_000     # pieces a worker remembers
+MAX_PIECES = 300_000     # pieces an encoder remembers, once more as many older ones
 MAX_PAIRS = 500_000      # token pairs a worker remembers
 
 
@@ -51,17 +51,22 @@ def byte_letters() -> dict[str, int]:
     return letters | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in shown)}
 
 
+def token_bytes(spec: dict) -> dict[int, bytes]:
+    """The bytes of every token of a parsed tokenizers file, special tokens included."""
+    letters = byte_letters()
+    special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
+    plain = {i: bytes(letters[c] for c in t) for t, i in spec["model"]["vocab"].items() if t not in special}
+    return plain | {i: t.encode() for t, i in special.items()}
+
+
 class Vocabulary:
     """Vocabulary, merges and special tokens of a tokenizers JSON file of byte-level BPE."""
 
     def __init__(self, text: str):
         spec = json.loads(text)
-        letters = byte_letters()
         vocab, merges = spec["model"]["vocab"], spec["model"]["merges"]
         self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
-        plain = {t: i for t, i in vocab.items() if t not in self.special}
-        self.bytes_of = {i: bytes(letters[c] for c in t) for t, i in plain.items()}
-        self.bytes_of |= {i: t.encode() for t, i in self.special.items()}
+        self.bytes_of = token_bytes(spec)
         pairs = [m.split(" ") if isinstance(m, str) else m for m in merges]
         # merge of (left, right) -> its rank, rank + 1 for comparisons with "no merge" (0)
         self.rank: dict[tuple[int, int], int] = {}
@@ -161,8 +166,9 @@ class Encoder(dict):
     as they are met again; so frequent pieces stay and memory is bounded.
     """
 
-    def __init__(self, vocabulary: Vocabulary, encode_word=None):
+    def __init__(self, vocabulary: Vocabulary, encode_word=None, pieces: int = MAX_PIECES):
         super().__init__()
+        self.pieces = pieces
         self.v = vocabulary
         self.encode_word = encode_word or vocabulary.encode_word
         self.older: dict[str, bytes] = {}
@@ -177,7 +183,7 @@ class Encoder(dict):
                 got = self[piece[:-1]] + (self.marks.get(piece[-1]) or self._words(piece[-1]))
             else:
                 got = self._words(" " + piece)
-        if len(self) >= MAX_PIECES:
+        if len(self) >= self.pieces:
             self.older = dict(self)
             self.clear()
         if len(piece) < 100:
@@ -192,7 +198,7 @@ class Encoder(dict):
                 continue
             got = marks.get(w)
             if got is None:
-                if len(marks) >= MAX_PIECES // 4:
+                if len(marks) >= self.pieces // 4:
                     marks.clear()
                 got = self.encode_word(w)
                 if len(w) < 100:
@@ -220,9 +226,10 @@ class Encoder(dict):
 class Decoder:
     """Id arrays to text: the tokens' bytes, gathered from one buffer."""
 
-    def __init__(self, vocabulary: Vocabulary):
-        parts = [vocabulary.bytes_of.get(i, b"") for i in range(vocabulary.size)]
-        self.known = np.array([i in vocabulary.bytes_of for i in range(vocabulary.size)])
+    def __init__(self, bytes_of: dict[int, bytes]):
+        size = max(bytes_of) + 1
+        parts = [bytes_of.get(i, b"") for i in range(size)]
+        self.known = np.array([i in bytes_of for i in range(size)])
         self.size = np.array([len(p) for p in parts], np.int64)
         self.at = np.concatenate([[0], np.cumsum(self.size)])[:-1]
         self.buffer = np.frombuffer(b"".join(parts), np.uint8)
@@ -238,17 +245,29 @@ class Decoder:
         return self.buffer[shift + np.arange(ends[-1])].tobytes().decode("utf-8", "replace")
 
 
-_LOADED: dict[int, tuple[Vocabulary, Encoder, Decoder]] = {}
+_ENCODERS: dict[int, Encoder] = {}
+_DECODERS: dict[int, Decoder] = {}
+
+
+def encoder_of(shared) -> Encoder:
+    """The encoder of a broadcast file, built once per worker process.
+
+    A task that encodes and decodes has two workers, and any worker may come to encode: it remembers half as much.
+    """
+    key = hash(shared.value)
+    if key not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[key] = Encoder(Vocabulary(shared.value), pieces=MAX_PIECES // 2)
+    return _ENCODERS[key]
 
 
-def loaded(shared) -> tuple[Vocabulary, Encoder, Decoder]:
-    """The vocabulary of a broadcast file, built once per worker process."""
+def decoder_of(shared) -> Decoder:
+    """The decoder of a broadcast file, built once per worker process from the tokens' bytes alone."""
     key = hash(shared.value)
-    if key not in _LOADED:
-        v = Vocabulary(shared.value)
-        _LOADED.clear()
-        _LOADED[key] = (v, Encoder(v), Decoder(v))
-    return _LOADED[key]
+    if key not in _DECODERS:
+        _DECODERS.clear()
+        _DECODERS[key] = Decoder(token_bytes(json.loads(shared.value)))
+    return _DECODERS[key]
 
 
 def _share(df: DataFrame, path: str | None):
@@ -266,7 +285,7 @@ def encode(df: DataFrame, *, text_col: str = "text", ids_col: str = "ids", path:
     others = [c for c in df.columns if c != text_col]
 
     def run(batches):
-        encoder = loaded(shared)[1]
+        encoder = encoder_of(shared)
         for part in slices(batches):
             got = [encoder.encode(t) for t in part.column(len(others)).to_pylist()]
             offsets = np.concatenate([[0], np.cumsum([len(g) // 4 for g in got])]).astype(np.int32)
@@ -283,7 +302,7 @@ def decode(df: DataFrame, *, ids_col: str = "ids", text_col: str = "decoded", pa
 
     @F.arrow_udf("string")
     def text(ids: pa.Array) -> pa.Array:
-        decoder = loaded(shared)[2]
+        decoder = decoder_of(shared)
         values, offsets = ids.values.to_numpy(zero_copy_only=False), ids.offsets.to_numpy()
         return pa.array([decoder.decode(values[a:b]) if ok else None
                          for a, b, ok in zip(offsets, offsets[1:], ids.is_valid().to_pylist())], pa.string())
