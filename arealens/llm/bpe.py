@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .base import slices, tokenizer_path
+from .base import SLICE_ROWS, slices, tokenizer_path
 
 # Fixed value: the split of the public byte-level vocabulary (its README gives it).
 # White space is spelled out: libraries differ on U+001C to U+001F.
@@ -303,8 +303,12 @@ def decode(df: DataFrame, *, ids_col: str = "ids", text_col: str = "decoded", pa
     @F.arrow_udf("string")
     def text(ids: pa.Array) -> pa.Array:
         decoder = decoder_of(shared)
-        values, offsets = ids.values.to_numpy(zero_copy_only=False), ids.offsets.to_numpy()
-        return pa.array([decoder.decode(values[a:b]) if ok else None
-                         for a, b, ok in zip(offsets, offsets[1:], ids.is_valid().to_pylist())], pa.string())
+        values, done = ids.values.to_numpy(zero_copy_only=False), []
+        for i in range(0, len(ids), SLICE_ROWS):   # only a few texts are Python objects at a time
+            part = ids.slice(i, SLICE_ROWS)
+            offsets = part.offsets.to_numpy()
+            done.append(pa.array([decoder.decode(values[a:b]) if ok else None
+                                  for a, b, ok in zip(offsets, offsets[1:], part.is_valid().to_pylist())], pa.string()))
+        return pa.concat_arrays(done) if done else pa.array([], pa.string())
 
     return df.withColumn(text_col, text(F.col(ids_col)))
