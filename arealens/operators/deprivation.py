@@ -1,5 +1,5 @@
-"""Deprivation lookups: population-weighted quintiles, SIMD releases by year,
-access-deprived population, deprived young people.
+"""Deprivation lookups: population-weighted quintiles, joins to a lookup and
+SIMD releases by year, access-deprived population, deprived young people.
 
 Cumulative populations over the deprivation rank use the range-partitioned
 running sum of :mod:`.sequence`, so neither the national ranking (one global
@@ -35,6 +35,17 @@ def weighted_quintile(df: DataFrame, pop: str, order_cols, by=(), out: str = "qu
             .drop(cum, f"{cum}_total"))
 
 
+def join_simd_year(facts: DataFrame, lookup: DataFrame, keys=("datazone", "year")) -> DataFrame:
+    """Left join to a lookup versioned by year: every fact keeps its row, unmatched ones get nulls.
+
+    The lookup holds a row per datazone and year, so it grows with the input,
+    but its few bytes in parquet pass for a small table (0.9 million datazones
+    over 7 years: 11 MB of files, 1.2 GB as a broadcast in every executor).
+    Both sides are therefore shuffled and merged, sorting within one partition.
+    """
+    return facts.join(lookup.hint("merge"), list(keys), "left")
+
+
 def simd_versions(spark, versions) -> DataFrame:
     """(year, version) rows from (version, year_from, year_to) intervals.
 

@@ -36,7 +36,7 @@ def _lookup_and_prepared(spark, d):
 @register("join_simd_year", sql=O.with_fx(body=_J))
 def q_join_simd_year(spark, d):
     prep, lk = _lookup_and_prepared(spark, d)
-    return present(prep.join(lk, ["datazone", "year"], "left"))
+    return present(D.join_simd_year(prep, lk))
 
 
 @register("weighted_quintile", sql=O.with_fx(body=(
