@@ -51,7 +51,7 @@ def q_weighted_quintile(spark, d):
     ("j", _J), body=O.quintile_rollup_sql("j", ["year"], ["numerator", "denominator"], totals=False)))
 def q_quintile_rollup(spark, d):
     prep, lk = _lookup_and_prepared(spark, d)
-    return present(I.quintile_rollup(prep.join(lk, ["datazone", "year"], "left"), totals=False))
+    return present(I.quintile_rollup(D.join_simd_year(prep, lk), totals=False))
 
 
 @register("quintile_totals", sql=O.with_fx(

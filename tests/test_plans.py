@@ -36,3 +36,13 @@ def test_scans_are_pruned(spark):
     orders = [s for s in schemas if "o_orderdate" in s]
     assert orders and all(len(s.split(",")) <= 5 for s in orders)   # 5 of 6 order columns at most
     assert not any("o_totalprice" in s for s in schemas)
+
+
+SIMD_YEAR = ["join_simd_year", "quintile_rollup"]
+
+
+@pytest.mark.parametrize("name", SIMD_YEAR)
+def test_lookup_by_year_is_merged_not_broadcast(plans, name):
+    """A row per datazone and year grows with the input, however small its files are."""
+    joins = re.findall(r"(\w+Join) \[datazone#\d+L?, year#\d+\]", plans[name])
+    assert joins and set(joins) == {"SortMergeJoin"}
