@@ -58,7 +58,7 @@ def q_quintile_rollup(spark, d):
     ("j", _J), body=O.quintile_rollup_sql("j", ["year"], ["numerator", "denominator"])))
 def q_quintile_totals(spark, d):
     prep, lk = _lookup_and_prepared(spark, d)
-    return present(I.quintile_rollup(prep.join(lk, ["datazone", "year"], "left")))
+    return present(I.quintile_rollup(D.join_simd_year(prep, lk)))
 
 
 @register("join_population_right", sql=O.with_fx(

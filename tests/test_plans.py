@@ -38,7 +38,7 @@ def test_scans_are_pruned(spark):
     assert not any("o_totalprice" in s for s in schemas)
 
 
-SIMD_YEAR = ["join_simd_year", "quintile_rollup"]
+SIMD_YEAR = ["join_simd_year", "quintile_rollup", "quintile_totals"]
 
 
 @pytest.mark.parametrize("name", SIMD_YEAR)
