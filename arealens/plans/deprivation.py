@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators import deprivation as D
 from ..operators import inequality as I
 from ..operators import periods as P
 from ..operators import population as POP
@@ -25,7 +26,7 @@ def formatted(prepared: DataFrame, spec: IndicatorSpec, lookup: DataFrame,
         raise ValueError(f"ind {spec.ind_id}: a standardised rate needs a population by quintile, sex and age")
     strata = ["sex_grp", "age_grp"] if std else []
     data = read_prepared(prepared, spec.yearstart, spec.yearend)
-    joined = data.join(lookup, ["datazone", "year"], "left")
+    joined = D.join_simd_year(data, lookup)
     q = I.quintile_rollup(joined, keys=["year", *strata])
     if population is not None:
         pop = population if std else population.where(F.col("year") >= spec.yearstart)

@@ -38,7 +38,8 @@ def test_scans_are_pruned(spark):
     assert not any("o_totalprice" in s for s in schemas)
 
 
-SIMD_YEAR = ["join_simd_year", "quintile_rollup", "quintile_totals"]
+SIMD_YEAR = ["join_simd_year", "quintile_rollup", "quintile_totals", "join_population_right", "sii", "rii", "par",
+             "ranges", "attach_to_totals", "deprivation_easr"]
 
 
 @pytest.mark.parametrize("name", SIMD_YEAR)
